@@ -36,19 +36,23 @@ def sync_final_state(polls: DataFrame) -> DataFrame:
     times), ``ok`` and the reply ``body``.  Batches still running have no row.  Polls are
     reduced per task first, so a batch with very many of them is no burden.
     """
-    reply = reply_object(F.col("body"), "progressState")
+    reply = F.col("reply")
     state = (
         F.when(~F.col("ok"), ERROR_FETCHING_STATUS)
         .when(reply.isNull(), _unreadable(F.col("body")))
         .otherwise(text_or(reply["progressState"], UNKNOWN_STATE))
     )
-    ended = polls.select(
-        "endpoint_id", "batch_id", "poll_ts", "poll_no", state.alias("state")
-    ).filter(~F.equal_null("state", F.lit(IN_PROGRESS)))
-    first = F.min(F.struct("poll_ts", "poll_no", "state")).alias("first")
+    # The running polls are left out inside the aggregate: a filter would be pushed below the
+    # parsing and parse every reply once more.
+    ended = F.when(
+        ~F.equal_null("state", F.lit(IN_PROGRESS)), F.struct("poll_ts", "poll_no", "state")
+    )
     return (
-        ended.groupBy("endpoint_id", "batch_id")
-        .agg(first)
+        polls.withColumn("reply", reply_object(F.col("body"), "progressState"))
+        .select("endpoint_id", "batch_id", "poll_ts", "poll_no", state.alias("state"))
+        .groupBy("endpoint_id", "batch_id")
+        .agg(F.min(ended).alias("first"))
+        .filter(F.col("first").isNotNull())
         .select("endpoint_id", "batch_id", F.col("first.state").alias("final_state"))
     )
 
@@ -59,7 +63,7 @@ def sync_outcomes(responses: DataFrame, final_states: DataFrame) -> DataFrame:
     ``responses`` has ``endpoint_id``, ``http_status``, the reply ``body`` and ``error`` (text
     of a failed call, or null).  ``finished`` is false while no final state is known.
     """
-    reply = reply_object(F.col("body"), "batchId")
+    reply = F.col("reply")
     failed_call = F.col("error").isNotNull()
     busy = ~failed_call & F.col("http_status").isin(BUSY_CODES)
     settled = (
@@ -67,12 +71,17 @@ def sync_outcomes(responses: DataFrame, final_states: DataFrame) -> DataFrame:
         .when(busy, FAILED_ALREADY_RUNNING)
         .when(reply.isNull(), _unreadable(F.col("body")))
     )
-    triggers = responses.select(
-        "endpoint_id",
-        settled.alias("settled"),
-        F.when(settled.isNotNull(), NOT_STARTED_BATCH)
-        .otherwise(text_or(reply["batchId"], NO_BATCH_ID))
-        .alias("batch_id"),
+    started = text_or(reply["batchId"], NO_BATCH_ID)
+    triggers = (
+        responses.withColumn("reply", reply_object(F.col("body"), "batchId"))
+        .withColumn("settled", settled)
+        .select(
+            "endpoint_id",
+            "settled",
+            F.when(F.col("settled").isNotNull(), NOT_STARTED_BATCH)
+            .otherwise(started)
+            .alias("batch_id"),
+        )
     )
     ends = final_states.select(
         F.col("endpoint_id").alias("polled_id"),

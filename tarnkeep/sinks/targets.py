@@ -15,8 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from tarnkeep.sources.tables import read_if_exists
-
 # Fixed value: rows per written file.
 RECORDS_PER_FILE = 500_000
 
@@ -40,7 +38,10 @@ class PathTarget:
     partition_by: tuple[str, ...] = ()
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        return read_if_exists(lambda: spark.read.format(self.format).load(self.path))
+        """Current rows, or None if there is no such folder; any other failure is raised."""
+        if not _Files(spark, self._base).exists(self._base):
+            return None
+        return spark.read.format(self.format).load(self.path)
 
     def append(self, frame: DataFrame) -> None:
         _writer(frame, self.partition_by).format(self.format).mode("append").save(self.path)
@@ -106,7 +107,8 @@ class TableTarget:
     native_merge: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        return read_if_exists(lambda: spark.table(self.name))
+        """Current rows, or None if there is no such table; any other failure is raised."""
+        return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
 
     def append(self, frame: DataFrame) -> None:
         self._save(frame, self.name, "append")

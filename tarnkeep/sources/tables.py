@@ -1,33 +1,15 @@
-"""Existing targets and table inventories."""
+"""Table inventories from folder listings."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.functions.names import without_prefix
 
-_ABSENT = {"PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"}
-
 TABLE_ROOT = "Tables"
 
 
-def read_if_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """Result of ``read``, or None if there is no such path or table.
-
-    Any other failure is raised: an unreachable target must not pass for a new one.
-    """
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
-            return None
-        raise
-
-
 def tables_from_paths(listing: DataFrame) -> DataFrame:
     """Table folders ``Tables/<schema>/<table>`` named or implied by a recursive listing.
 

@@ -43,6 +43,17 @@ def select_targets(
     )
 
 
+def target_counts(workspaces: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row: how many workspaces matched and how many targets they have."""
+    both = workspaces.select(F.lit(False).alias("is_target")).unionAll(
+        targets.select(F.lit(True).alias("is_target"))
+    )
+    return both.agg(
+        F.count_if(~F.col("is_target")).alias("matching_workspaces"),
+        F.count_if("is_target").alias("targets"),
+    )
+
+
 def pick_monitor_db(payloads: DataFrame, prefix: str = "ProcessDB") -> DataFrame:
     """First database of each reply whose name has the prefix and no underscore.
 

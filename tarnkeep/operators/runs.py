@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarnkeep.functions.payloads import reply_object, text_or
+from tarnkeep.operators.merge import conform
 
 # States and markers of the run log.
 IN_PROGRESS = "inProgress"
@@ -19,6 +21,11 @@ NOT_STARTED_BATCH = "N/A"
 BUSY_CODES = [400, 409]
 ERROR_LENGTH = 50
 
+RUN_LOG = (
+    "ExecutionTime timestamp_ntz, WorkspaceName string, EndpointName string, "
+    "Status string, BatchId string, IsDryRun boolean"
+)
+
 
 def _error_status(text: Column) -> Column:
     return F.concat(F.lit("ERROR: "), F.substring(text, 1, ERROR_LENGTH))
@@ -48,7 +55,9 @@ def sync_final_state(polls: DataFrame) -> DataFrame:
         ~F.equal_null("state", F.lit(IN_PROGRESS)), F.struct("poll_ts", "poll_no", "state")
     )
     return (
-        polls.withColumn("reply", reply_object(F.col("body"), "progressState"))
+        polls.withColumn(
+            "reply", F.when(F.col("ok"), reply_object(F.col("body"), "progressState"))
+        )
         .select("endpoint_id", "batch_id", "poll_ts", "poll_no", state.alias("state"))
         .groupBy("endpoint_id", "batch_id")
         .agg(F.min(ended).alias("first"))
@@ -65,7 +74,7 @@ def sync_outcomes(responses: DataFrame, final_states: DataFrame) -> DataFrame:
     """
     reply = F.col("reply")
     failed_call = F.col("error").isNotNull()
-    busy = ~failed_call & F.col("http_status").isin(BUSY_CODES)
+    busy = F.col("http_status").isin(BUSY_CODES)
     settled = (
         F.when(failed_call, _error_status(F.col("error")))
         .when(busy, FAILED_ALREADY_RUNNING)
@@ -73,7 +82,10 @@ def sync_outcomes(responses: DataFrame, final_states: DataFrame) -> DataFrame:
     )
     started = text_or(reply["batchId"], NO_BATCH_ID)
     triggers = (
-        responses.withColumn("reply", reply_object(F.col("body"), "batchId"))
+        responses.withColumn(
+            "reply",
+            F.when(failed_call | busy, None).otherwise(reply_object(F.col("body"), "batchId")),
+        )
         .withColumn("settled", settled)
         .select(
             "endpoint_id",
@@ -136,6 +148,11 @@ def run_log_rows(
     )
 
 
+def as_run_log(entries: DataFrame) -> DataFrame:
+    """Log entries from elsewhere in the types of the run log (0/1 flags become booleans)."""
+    return conform(entries, StructType.fromDDL(RUN_LOG))
+
+
 def sync_latest_status(log: DataFrame) -> DataFrame:
     """Latest log row per endpoint.
 

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tarnkeep.functions.ages import ntz
 from tarnkeep.functions.names import WAREHOUSE_NAME, WAREHOUSE_TYPE
@@ -16,38 +17,62 @@ from tarnkeep.operators.freshness import (
     table_ages,
 )
 from tarnkeep.operators.inventory import select_targets, select_workspaces
-from tarnkeep.session import checkpointed
+from tarnkeep.sources.folders import list_log_files, list_tables
+from tarnkeep.storage import kept
+
+
+def warehouse_targets(
+    workspaces: DataFrame, items: DataFrame, domains: Sequence[str], suffix: str
+) -> DataFrame:
+    """Warehouses of the selected workspaces."""
+    chosen = select_workspaces(workspaces, domains, suffix)
+    return select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
 
 
 def freshness(
-    workspaces: DataFrame,
-    items: DataFrame,
+    targets: DataFrame,
     tables: DataFrame,
     files: DataFrame,
     now: datetime | str | Column,
-    domains: Sequence[str],
-    suffix: str,
     threshold_hours: float = DEFAULT_THRESHOLD_HOURS,
     keys: Sequence[str] = ("item_id", "table_path"),
     keep: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Detail and summary rows of one run at the UTC time ``now``.
 
-    With ``keep`` the table ages are computed once, in the checkpoint folder, and both results
-    read them from there; set it when both will be used.
+    ``tables`` and ``files`` may cover more items than the targets.  With ``keep`` the table
+    ages are computed once, in the shared folder, and both results read them from there; set
+    it when both will be used.
     """
     run_ts = ntz(now)
-    chosen = select_workspaces(workspaces, domains, suffix)
-    targets = select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
     ages = table_ages(tables, files, run_ts, keys, threshold_hours)
     if keep:
-        ages = checkpointed(ages)
+        ages, _ = kept(ages, "table-ages")
     return (
         freshness_detail(targets, ages, run_ts, threshold_hours),
         freshness_summary(targets, ages, run_ts, threshold_hours),
     )
 
 
+def freshness_on_mount(
+    targets: DataFrame,
+    root: str,
+    now: datetime | str | Column,
+    threshold_hours: float = DEFAULT_THRESHOLD_HOURS,
+    tasks: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The same for table folders under ``<root>/<item id>``, listed by the executors.
+
+    Only the targets' folders are listed, each of them once.
+    """
+    roots = targets.select(
+        "item_id", F.concat(F.lit(f"{root.rstrip('/')}/"), F.col("item_id")).alias("item_root")
+    )
+    tables, _ = kept(list_tables(roots, tasks), "tables")
+    files = list_log_files(tables, tasks)
+    return freshness(targets, tables, files, now, threshold_hours, keep=True)
+
+
 def log_freshness(
     detail: DataFrame, summary: DataFrame, append: Callable[[DataFrame, str], None]
 ) -> None:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
 from tarnkeep.operators.merge import conform, last_per_key, merge_rows
 from tarnkeep.sinks.targets import PathTarget, TableTarget
+from tarnkeep.storage import Storage, kept
 
 # Source keys up to this much text and this many values are copied to every executor
 # instead of shuffling the target.
@@ -39,6 +40,7 @@ def load(
     order_by: Sequence[str] = (),
     allow_empty: bool = False,
     max_loss_pct: float = MAX_LOSS_PCT,
+    stored_source: bool = False,
 ) -> DataFrame:
     """Run one load and return its report, a single row with the columns of ``REPORT``.
 
@@ -46,6 +48,9 @@ def load(
     ``max_loss_pct`` percent would be lost.  ``merge`` replaces rows with an equal ``key`` and
     adds the others; keys that occur more than once in the source are an error, or, with
     ``on_duplicate="last"``, the last by ``order_by`` counts.
+
+    A merge reads its source several times, so it first writes it to the shared folder; say
+    ``stored_source`` if it already is a columnar copy that will not change meanwhile.
     """
     spark = source.sparkSession
     if strategy not in ("append", "fullload", "merge"):
@@ -68,7 +73,7 @@ def load(
         )
     else:
         source_rows, loss, required = _merge(
-            source, target, before, key, on_duplicate, order_by
+            source, target, before, key, on_duplicate, order_by, stored_source
         )
     rows_after = target.read(spark).count()
     if required is not None and rows_after < required:
@@ -108,14 +113,24 @@ def _full(source, target, rows_before, allow_empty, max_loss_pct):
     return source_rows, loss, source_rows
 
 
-def _merge(source, target, before, key, on_duplicate, order_by):
+def _merge(source, target, before, key, on_duplicate, order_by, stored_source):
     spark = source.sparkSession
     if before is None:
         staged = target.stage(source)
         source_rows = target.staged_rows(spark, staged)
         target.publish(spark, staged)
         return source_rows, None, source_rows
+    if stored_source:
+        return _merge_stored(source, target, before, key, on_duplicate, order_by)
+    copy, path = kept(source, "merge-source")
+    try:
+        return _merge_stored(copy, target, before, key, on_duplicate, order_by)
+    finally:
+        Storage(spark).delete(path)
+
 
+def _merge_stored(source, target, before, key, on_duplicate, order_by):
+    spark = source.sparkSession
     keys = key_profile(source, key).first()
     if keys.source_rows == 0:
         return 0, None, 0

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkeep.storage import Storage
+
 # Fixed value: rows per written file.
 RECORDS_PER_FILE = 500_000
 
@@ -39,7 +41,7 @@ class PathTarget:
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """Current rows, or None if there is no such folder; any other failure is raised."""
-        if not _Files(spark, self._base).exists(self._base):
+        if not Storage(spark).exists(self._base):
             return None
         return spark.read.format(self.format).load(self.path)
 
@@ -55,7 +57,7 @@ class PathTarget:
         return spark.read.format(self.format).load(staged).count()
 
     def publish(self, spark: SparkSession, staged: str) -> None:
-        files = _Files(spark, self._base)
+        files = Storage(spark)
         old = files.exists(self._base)
         if old:
             files.rename(self._base, self._backup)
@@ -65,11 +67,11 @@ class PathTarget:
         spark.catalog.refreshByPath(self.path)
 
     def discard(self, spark: SparkSession, staged: str) -> None:
-        _Files(spark, staged).delete(staged)
+        Storage(spark).delete(staged)
 
     def recover(self, spark: SparkSession) -> None:
         """Finish or undo a swap that was cut off."""
-        files = _Files(spark, self._base)
+        files = Storage(spark)
         if not files.exists(self._backup):
             return
         if files.exists(self._base):
@@ -156,23 +158,3 @@ class TableTarget:
     @property
     def _backup(self) -> str:
         return f"{self.name}__previous"
-
-
-class _Files:
-    """Rename, delete and test on whatever file system holds a path."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        configuration = spark._jsc.hadoopConfiguration()
-        self._system = self._path(path).getFileSystem(configuration)
-
-    def exists(self, path: str) -> bool:
-        return self._system.exists(self._path(path))
-
-    def rename(self, path: str, new_path: str) -> None:
-        if not self._system.rename(self._path(path), self._path(new_path)):
-            raise OSError(f"could not rename {path} to {new_path}")
-
-    def delete(self, path: str) -> None:
-        if not self._system.delete(self._path(path), True):
-            raise OSError(f"could not delete {path}")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tarnkeep.operators.drift import APPROVED_ENDING, BOOTSTRAP_ENDING
+from tarnkeep.storage import Storage
 
 
 class SchemaPending(ValueError):
@@ -32,11 +33,7 @@ class SchemaRegistry:
         """Write one schema file and return its path."""
         path = self._file(schema_name, table_name, ending)
         text = json.dumps(json.loads(schema.json()), indent=2, ensure_ascii=False)
-        out = self._system(path).create(self._path(path), True)
-        try:
-            out.write(bytearray(text, "utf-8"))
-        finally:
-            out.close()
+        Storage(self.spark).write_text(path, text)
         return path
 
     def bootstrap(self, frame: DataFrame, schema_name: str, table_name: str) -> None:
@@ -50,11 +47,11 @@ class SchemaRegistry:
     def approved(self, schema_name: str, table_name: str) -> StructType:
         """The approved schema; an error tells apart 'under review' and 'none at all'."""
         path = self._file(schema_name, table_name, APPROVED_ENDING)
-        if self._exists(path):
-            text = self.spark.read.text(path, wholetext=True).first().value
-            return StructType.fromJson(json.loads(text))
+        storage = Storage(self.spark)
+        if storage.exists(path):
+            return StructType.fromJson(json.loads(storage.read_text(path)))
         recorded = self._file(schema_name, table_name, BOOTSTRAP_ENDING)
-        if self._exists(recorded):
+        if storage.exists(recorded):
             raise SchemaPending(
                 f"only {recorded} exists: review it and rename it to "
                 f"{table_name}{APPROVED_ENDING}"
@@ -63,12 +60,3 @@ class SchemaRegistry:
 
     def _file(self, schema_name: str, table_name: str, ending: str) -> str:
         return f"{self.root.rstrip('/')}/{schema_name}/{table_name}{ending}"
-
-    def _path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _system(self, path: str):
-        return self._path(path).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _exists(self, path: str) -> bool:
-        return self._system(path).exists(self._path(path))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnkeep.operators.freshness import latest_log_file, table_lines, warehouse_lines
-from tarnkeep.plans.freshness import freshness, log_freshness
+from tarnkeep.plans.freshness import freshness, log_freshness, warehouse_targets
 from tarnkeep.sinks.log_tables import append_log, jdbc_options
 
 NOW = datetime(2024, 5, 1, 12)
@@ -52,18 +52,16 @@ def result(spark):
 
 
 def run(spark, **how):
-    return freshness(
+    targets = warehouse_targets(
         spark.createDataFrame(WORKSPACES, "workspace_id int, workspace_name string"),
         spark.createDataFrame(
             ITEMS, "workspace_id int, item_id int, item_type string, item_name string"
         ),
-        spark.createDataFrame(TABLES, "item_id int, table_path string"),
-        files(spark),
-        NOW,
         ["FINANCE", "SALES"],
         "_dev",
-        **how,
     )
+    tables = spark.createDataFrame(TABLES, "item_id int, table_path string")
+    return freshness(targets, tables, files(spark), NOW, **how)
 
 
 def files(spark):

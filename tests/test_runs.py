@@ -2,7 +2,12 @@ from datetime import datetime
 
 import pytest
 
-from tarnkeep.operators.runs import sync_final_state, sync_latest_status, sync_outcomes
+from tarnkeep.operators.runs import (
+    as_run_log,
+    sync_final_state,
+    sync_latest_status,
+    sync_outcomes,
+)
 from tarnkeep.plans.sync_log import sync_log, sync_targets
 
 RUN_TS = datetime(2024, 5, 1, 12)
@@ -165,3 +170,12 @@ def test_a_later_run_beats_an_outcome(spark):
         "Status string, BatchId string, IsDryRun boolean",
     )
     assert sync_latest_status(log).first().Status == "Starting"
+
+
+def test_entries_with_number_flags(spark):
+    entries = spark.createDataFrame(
+        [{"ExecutionTime": RUN_TS, "WorkspaceName": "w", "EndpointName": "e",
+          "Status": "Starting", "BatchId": "N/A", "IsDryRun": 1}]
+    )
+    row = as_run_log(entries).first()
+    assert (row.IsDryRun, row.ExecutionTime) == (True, RUN_TS)

@@ -18,6 +18,8 @@ RUN_TS = "2001-01-01 00:00:00"
 EVENTS_NOW = "2024-01-31 00:00:00"
 THRESHOLD = 24.0
 EVENTS_THRESHOLD = 48.0
+PAGES_NOW = "2024-01-02 00:00:18"
+PAGES_THRESHOLD = 22.0
 RETURNS_FROM_KEY = 1_000_000_000
 
 
@@ -136,6 +138,22 @@ def page_listing(spark, sf_dir):
     )
 
 
+def page_logs(spark, sf_dir):
+    """Host as item, language and scheme of the address as table."""
+    address = F.regexp_replace("url", "^https?://", "")
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        "url",
+        F.substring_index(address, "/", 1).alias("item_id"),
+        F.concat(
+            F.lit("Tables/"),
+            F.substring_index(F.substring_index(address, "/", 2), "/", -1),
+            F.lit("/"),
+            F.substring_index("url", ":", 1),
+        ).alias("table_path"),
+    )
+
+
 def database_replies(spark, sf_dir):
     def database(name, fqdn):
         properties = F.struct(fqdn.alias("serverFqdn"), name.alias("databaseName"))

@@ -134,6 +134,15 @@ _ORDERS_TEXT = """
 
 _ADDRESS = "regexp_replace(url, '^https?://', '')"
 
+_PAGES_NOW = "TIMESTAMP '2024-01-02 00:00:18'"
+
+_PAGE_LOGS = f"""
+  SELECT split_part(address, '/', 1) AS item_id,
+         'Tables/' || split_part(address, '/', 2) || '/' || split_part(url, ':', 1) AS table_path,
+         lpad(page_id::VARCHAR, 20, '0') || '.json' AS file_name,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id) AS modified
+  FROM (SELECT page_id, url, {_ADDRESS} AS address FROM pages)"""
+
 ORACLES: dict[str, str] = {
     "freshness_detail": _DETAIL,
     "freshness_summary": _SUMMARY,
@@ -167,12 +176,21 @@ ORACLES: dict[str, str] = {
                CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'ProcessDB' || p_partkey
                     WHEN p_size <= 40 THEN 'ProcessDB' || p_size END AS db
         FROM part)""",
-    "log_file_listing": f"""
-  SELECT split_part(address, '/', 1) AS item_id,
-         'Tables/' || split_part(address, '/', 2) || '/' || split_part(url, ':', 1) AS table_path,
-         lpad(page_id::VARCHAR, 20, '0') || '.json' AS file_name,
-         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id) AS modified
-  FROM (SELECT page_id, url, {_ADDRESS} AS address FROM pages)""",
+    "log_file_listing": _PAGE_LOGS,
+    "freshness_on_mount": f"""
+  SELECT {_PAGES_NOW} AS "RunTs", 'WS_PAGES' AS "WorkspaceName", item_id AS "WarehouseName",
+         count(*)::INTEGER AS "TotalTables", count(*)::INTEGER AS "TablesWithDeltaLog",
+         count(CASE WHEN age > 22 THEN 1 END)::INTEGER AS "StaleTables",
+         max(ts) AS "LatestDeltaLogTs", min(ts) AS "OldestDeltaLogTs",
+         CAST(printf('%.2f', max(age)) AS DOUBLE) AS "MaxAgeHours",
+         CAST(printf('%.2f', min(age)) AS DOUBLE) AS "MinAgeHours",
+         CAST(22 AS DOUBLE) AS "ThresholdHours", min(age) > 22 AS "IsPublishingBroken"
+  FROM (SELECT item_id, table_path, max(modified) AS ts, {_age('max(modified)', _PAGES_NOW)} AS age
+        FROM ({_PAGE_LOGS}) GROUP BY ALL)
+  GROUP BY item_id""",
+    "target_counts": f"""
+  SELECT (SELECT count(*) FROM ({_CHOSEN_WORKSPACES})) AS matching_workspaces,
+         (SELECT count(*) FROM ({_TARGETS.format(prefix="'wh'", status="'F'")})) AS targets""",
     "target_scan_counts": """
   SELECT (SELECT count(*) FROM lineitem) AS source_rows,
          (SELECT count(*) FROM orders) AS target_rows""",

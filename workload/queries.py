@@ -14,16 +14,17 @@ from tarnkeep.functions.ages import ntz
 from tarnkeep.functions.names import WAREHOUSE_NAME, WAREHOUSE_TYPE, env_suffix
 from tarnkeep.operators import drift, freshness, guards, inventory, runs
 from tarnkeep.plans.freshness import freshness as freshness_run
+from tarnkeep.plans.freshness import freshness_on_mount, warehouse_targets
 from tarnkeep.plans.gated_etl import gated_etl
 from tarnkeep.plans.load import load
 from tarnkeep.plans.sync_log import sync_log, sync_targets
-from tarnkeep.session import shared_folder
 from tarnkeep.sinks.log_tables import append_log
 from tarnkeep.sinks.targets import PathTarget
 from tarnkeep.sources.csv_files import raw_csv, typed_csv
 from tarnkeep.sources.folders import list_log_files, list_tables
 from tarnkeep.sources.registry import SchemaRegistry
 from tarnkeep.sources.tables import tables_from_paths
+from tarnkeep.storage import shared_folder
 from workload import frames
 from workload.frames import table
 
@@ -35,16 +36,19 @@ SEGMENTS = ["BUILDING", "FURNITURE", "HOUSEHOLD"]
 
 
 def _freshness(spark, sf_dir):
-    return freshness_run(
+    targets = warehouse_targets(
         frames.region_workspaces(spark, sf_dir),
         frames.warehouse_items(spark, sf_dir),
+        REGIONS,
+        "_DEV",
+    )
+    return freshness_run(
+        targets,
         frames.order_tables(spark, sf_dir),
         frames.line_files(spark, sf_dir),
-        now=frames.RUN_TS,
-        domains=REGIONS,
-        suffix="_DEV",
-        threshold_hours=frames.THRESHOLD,
-        keys=["table_id"],
+        frames.RUN_TS,
+        frames.THRESHOLD,
+        ["table_id"],
     )
 
 
@@ -111,6 +115,14 @@ def select_targets(spark, sf_dir):
     return inventory.select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
 
 
+def target_counts(spark, sf_dir):
+    workspaces = frames.customer_workspaces(spark, sf_dir)
+    chosen = inventory.select_workspaces(workspaces, SEGMENTS, "_N7")
+    items = frames.order_items(spark, sf_dir)
+    targets = inventory.select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
+    return inventory.target_counts(chosen, targets)
+
+
 def table_inventory(spark, sf_dir):
     return tables_from_paths(frames.page_listing(spark, sf_dir))
 
@@ -139,29 +151,33 @@ def _write_page_logs(root: str):
     return write
 
 
-def log_file_listing(spark, sf_dir):
-    """A folder tree with a log file per page, listed by the executors."""
+def _page_tree(spark, sf_dir):
+    """A folder tree with one log file per page; its root and the page rows."""
     root = shared_folder(spark, "page-tree").removeprefix("file:")
-    address = F.regexp_replace("url", "^https?://", "")
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id",
-        "url",
-        F.substring_index(address, "/", 1).alias("item_id"),
-        F.concat(
-            F.lit("Tables/"),
-            F.substring_index(F.substring_index(address, "/", 2), "/", -1),
-            F.lit("/"),
-            F.substring_index("url", ":", 1),
-        ).alias("table_path"),
-    )
+    pages = frames.page_logs(spark, sf_dir)
     written = pages.mapInArrow(_write_page_logs(root), "item_id string")
     written.write.format("noop").mode("overwrite").save()
+    return root, pages
+
+
+def log_file_listing(spark, sf_dir):
+    """The log files of all pages, listed by the executors."""
+    root, pages = _page_tree(spark, sf_dir)
     items = pages.select(
         "item_id", F.concat(F.lit(f"{root}/"), "item_id").alias("item_root")
     ).distinct()
     return list_log_files(list_tables(items)).drop("error")
 
 
+def freshness_mounted(spark, sf_dir):
+    """Summary of a run that lists the tree itself; the hosts are the warehouses."""
+    root, pages = _page_tree(spark, sf_dir)
+    targets = pages.select(
+        "item_id", F.lit("WS_PAGES").alias("workspace_name"), F.col("item_id").alias("item_name")
+    ).distinct()
+    return freshness_on_mount(targets, root, frames.PAGES_NOW, frames.PAGES_THRESHOLD)[1]
+
+
 # -- loads -------------------------------------------------------------------------------
 
 
@@ -353,9 +369,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "env_suffix": env_suffixes,
     "select_workspaces": select_workspaces,
     "select_targets": select_targets,
+    "target_counts": target_counts,
     "table_inventory": table_inventory,
     "pick_monitor_db": pick_monitor_db,
     "log_file_listing": log_file_listing,
+    "freshness_on_mount": freshness_mounted,
     "target_scan_counts": target_scan_counts,
     "row_loss_guard": row_loss_guard,
     "post_load_check": post_load_check,

@@ -22,26 +22,20 @@ def latest_log_file(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     ``files`` has the ``keys``, ``file_name``, ``modified`` and, optionally, ``error``.
     The smallest (time back to the epoch, name) pair is the newest file.  Each task reduces
     its rows to one pair per table before the shuffle, so a table that owns a large part of
-    all files sends no more than one row per task.
+    all files sends no more than one row per task.  The time is an aggregate of its own:
+    whoever needs no names, such as the summary, then reads and sorts none.
     """
     newest = F.min(
         F.when(
             F.col("file_name").isNotNull(),
-            F.struct(
-                (ntz(_EPOCH) - F.col("modified")).alias("order"), "file_name", "modified"
-            ),
+            F.struct((ntz(_EPOCH) - F.col("modified")).alias("order"), "file_name"),
         )
     )
     error = F.min("error") if "error" in files.columns else F.lit(None).cast("string")
-    return (
-        files.groupBy(*keys)
-        .agg(newest.alias("newest"), error.alias("error"))
-        .select(
-            *keys,
-            F.col("newest.file_name").alias("latest_file"),
-            F.col("newest.modified").alias("latest_ts"),
-            "error",
-        )
+    return files.groupBy(*keys).agg(
+        newest["file_name"].alias("latest_file"),
+        F.max("modified").alias("latest_ts"),
+        error.alias("error"),
     )
 
 

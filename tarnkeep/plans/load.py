@@ -98,8 +98,8 @@ def _full(source, target, rows_before, allow_empty, max_loss_pct):
         target.discard(spark, staged)
         raise LoadRejected("the source is empty")
     if rows_before is not None:
-        counts = spark.createDataFrame(
-            [(source_rows, rows_before)], "source_rows long, target_rows long"
+        counts = spark.range(1).select(
+            F.lit(source_rows).alias("source_rows"), F.lit(rows_before).alias("target_rows")
         )
         verdict = row_loss_guard(counts, max_loss_pct).first()
         loss = verdict.loss_pct
@@ -140,7 +140,7 @@ def _merge_stored(source, target, before, key, on_duplicate, order_by):
         source = last_per_key(source, key, order_by)
     required = keys.distinct_keys + keys.null_keys
 
-    if isinstance(target, TableTarget) and target.native_merge:
+    if isinstance(target, TableTarget) and target.transactional:
         target.merge(source, key)
         return keys.source_rows, None, required
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 
@@ -24,6 +26,15 @@ def jdbc_options(
     return options
 
 
+def not_yet_logged(rows: DataFrame, logged: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose ``keys`` are not in the log.
+
+    A database append that dies half-way keeps the partitions it has committed.  Appending
+    this remainder of the same run completes the log without repeating a row.
+    """
+    return rows.join(logged.select(*keys), list(keys), "left_anti").select(*rows.columns)
+
+
 def append_log(rows: DataFrame, format: str, **options: str) -> None:
     """One bulk append of all rows; columns are matched by name, failures are raised."""
     rows.write.format(format).mode("append").options(**options).save()

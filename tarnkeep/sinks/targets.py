@@ -4,6 +4,10 @@ Spark overwrites a folder by deleting it first, and cannot overwrite what the sa
 So new content goes to a staging name next to the target (the same storage), is counted there,
 and takes the target's place by rename.  Two renames are not one atomic step: a run that dies
 between them leaves the old data under the backup name, and ``recover`` puts it back.
+
+A format with its own transaction log overwrites and merges in one commit; for such targets
+(``transactional=True``) the staged content is written over the target instead, which keeps
+its history.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ class PathTarget:
     path: str
     format: str = "parquet"
     partition_by: tuple[str, ...] = ()
+    transactional: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """Current rows, or None if there is no such folder; any other failure is raised."""
@@ -58,11 +63,16 @@ class PathTarget:
 
     def publish(self, spark: SparkSession, staged: str) -> None:
         files = Storage(spark)
-        old = files.exists(self._base)
-        if old:
+        if not files.exists(self._base):
+            files.rename(staged, self._base)
+        elif self.transactional:
+            content = spark.read.format(self.format).load(staged)
+            writer = _writer(content, self.partition_by).format(self.format)
+            writer.mode("overwrite").save(self.path)
+            files.delete(staged)
+        else:
             files.rename(self._base, self._backup)
-        files.rename(staged, self._base)
-        if old:
+            files.rename(staged, self._base)
             files.delete(self._backup)
         spark.catalog.refreshByPath(self.path)
 
@@ -101,12 +111,12 @@ class PathTarget:
 
 @dataclass(frozen=True)
 class TableTarget:
-    """A catalog table.  ``native_merge`` is for formats that support row-level MERGE."""
+    """A catalog table; a ``transactional`` one must support row-level MERGE."""
 
     name: str
     format: str = "parquet"
     partition_by: tuple[str, ...] = ()
-    native_merge: bool = False
+    transactional: bool = False
 
     def read(self, spark: SparkSession) -> DataFrame | None:
         """Current rows, or None if there is no such table; any other failure is raised."""
@@ -124,11 +134,14 @@ class TableTarget:
         return spark.table(staged).count()
 
     def publish(self, spark: SparkSession, staged: str) -> None:
-        old = spark.catalog.tableExists(self.name)
-        if old:
+        if not spark.catalog.tableExists(self.name):
+            self._rename(spark, staged, self.name)
+        elif self.transactional:
+            self._save(spark.table(staged), self.name, "overwrite")
+            self.discard(spark, staged)
+        else:
             self._rename(spark, self.name, self._backup)
-        self._rename(spark, staged, self.name)
-        if old:
+            self._rename(spark, staged, self.name)
             spark.sql(f"DROP TABLE {self._backup}")
 
     def discard(self, spark: SparkSession, staged: str) -> None:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tarnkeep.operators.freshness import latest_log_file, table_lines, warehouse_lines
 from tarnkeep.plans.freshness import freshness, log_freshness, warehouse_targets
-from tarnkeep.sinks.log_tables import append_log, jdbc_options
+from tarnkeep.sinks.log_tables import append_log, jdbc_options, not_yet_logged
 
 NOW = datetime(2024, 5, 1, 12)
 WORKSPACES = [
@@ -220,6 +220,16 @@ def test_log_append(spark, result, tmp_path):
     assert spark.read.parquet(str(tmp_path / "summary")).count() == 2 * result[1].count()
 
 
+def test_completing_a_log(spark, result, tmp_path):
+    log = str(tmp_path / "log")
+    append_log(result[0].filter("IsStale"), "parquet", path=log)
+    keys = ["RunTs", "WorkspaceName", "WarehouseName", "TablePath"]
+    rest = not_yet_logged(result[0], spark.read.parquet(log), keys)
+    append_log(rest, "parquet", path=log)
+    logged = spark.read.parquet(log)
+    assert sorted(map(str, logged.collect())) == sorted(map(str, result[0].collect()))
+
+
 def test_jdbc_options():
     options = jdbc_options("jdbc:x://host", "Log.Detail", driver="x.Driver", connections=4)
     assert options == {

@@ -246,7 +246,19 @@ def test_native_merge_is_left_to_the_format(spark, tmp_path):
     name = f"native_{abs(hash(str(tmp_path)))}"
     load(numbers(spark, 2), TableTarget(name), "append")
     with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
-        load(numbers(spark, 2), TableTarget(name, native_merge=True), "merge", key="id")
+        load(numbers(spark, 2), TableTarget(name, transactional=True), "merge", key="id")
+
+
+@pytest.mark.parametrize("kind", ["path", "table"])
+def test_transactional_targets_are_overwritten_in_place(spark, tmp_path, kind):
+    if kind == "path":
+        target = PathTarget(str(tmp_path / "t"), transactional=True)
+    else:
+        target = TableTarget(f"own_log_{abs(hash(str(tmp_path)))}", transactional=True)
+    load(numbers(spark, 5), target, "fullload")
+    load(numbers(spark, 6), target, "fullload")
+    assert target.read(spark).count() == 6
+    assert leftovers(target, spark) == own_name(target)
 
 
 def test_files_are_bounded(spark, tmp_path, monkeypatch):

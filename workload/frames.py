@@ -221,7 +221,7 @@ def event_polls(spark, sf_dir):
     )
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("endpoint_id"),
-        F.date_format("ts", "yyyy-MM-dd").alias("batch_id"),
+        F.col("ts").cast("date").cast("string").alias("batch_id"),
         F.col("ts").alias("poll_ts"),
         F.col("event_id").alias("poll_no"),
         (F.col("event_type") != "error").alias("ok"),
@@ -264,7 +264,7 @@ def line_polls(spark, sf_dir):
 
 def event_log(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
-        F.date_trunc("day", "ts").cast("timestamp_ntz").alias("ExecutionTime"),
+        F.col("ts").cast("date").cast("timestamp_ntz").alias("ExecutionTime"),
         F.lit("WS_EVENTS").alias("WorkspaceName"),
         F.concat(F.lit("LH_"), F.col("user_id").cast("string")).alias("EndpointName"),
         F.when(F.col("event_type") == "view", "Starting")

@@ -1 +1,40 @@
 """Keep lakehouse tables loaded, checked and fresh with Spark DataFrames."""
+
+from tarnkeep.plans.freshness import (
+    freshness,
+    freshness_on_mount,
+    log_freshness,
+    warehouse_targets,
+)
+from tarnkeep.plans.gated_etl import SchemaDrift, check_schema, gated_etl
+from tarnkeep.plans.load import LoadRejected, load
+from tarnkeep.plans.sync_log import sync_log, sync_targets
+from tarnkeep.session import apply_settings
+from tarnkeep.sinks.log_tables import append_log, jdbc_options
+from tarnkeep.sinks.targets import PathTarget, TableTarget
+from tarnkeep.sources.csv_files import raw_csv, typed_csv
+from tarnkeep.sources.registry import SchemaMissing, SchemaPending, SchemaRegistry
+
+__all__ = [
+    "LoadRejected",
+    "PathTarget",
+    "SchemaDrift",
+    "SchemaMissing",
+    "SchemaPending",
+    "SchemaRegistry",
+    "TableTarget",
+    "append_log",
+    "apply_settings",
+    "check_schema",
+    "freshness",
+    "freshness_on_mount",
+    "gated_etl",
+    "jdbc_options",
+    "load",
+    "log_freshness",
+    "raw_csv",
+    "sync_log",
+    "sync_targets",
+    "typed_csv",
+    "warehouse_targets",
+]

@@ -10,6 +10,8 @@ from tarnkeep.operators.inventory import (
     select_targets,
     select_workspaces,
 )
+from tarnkeep.plans.sync_log import sync_targets
+from tarnkeep.sources.service_lists import items_from, workspaces_from
 from tarnkeep.sources.tables import tables_from_paths
 
 
@@ -99,3 +101,15 @@ def test_tables_from_paths(spark):
         ("i", "Tables/dbo/c"),
         ("j", "Tables/j/Tables"),
     }
+
+
+def test_service_lists(spark):
+    listed = spark.createDataFrame([("w1", "WS_A_dev")], "Id string, Name string")
+    items = spark.createDataFrame(
+        [("i1", "SQLEndpoint", "LH_a_b", "w1"), ("i2", "Report", "LH_a_b", "w1")],
+        "Id string, Type string, `Display Name` string, workspace string",
+    )
+    targets = sync_targets(
+        workspaces_from(listed), items_from(items, "workspace"), ["A"], "_dev"
+    )
+    assert [tuple(row) for row in targets.collect()] == [("w1", "WS_A_dev", "i1", "LH_a_b")]

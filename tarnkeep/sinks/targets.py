@@ -55,7 +55,13 @@ class PathTarget:
 
     def stage(self, frame: DataFrame) -> str:
         staged = f"{self._base}__staged_{uuid.uuid4().hex}"
-        _writer(frame, self.partition_by).format(self.format).save(staged)
+        try:
+            _writer(frame, self.partition_by).format(self.format).save(staged)
+        except Exception:
+            files = Storage(frame.sparkSession)
+            if files.exists(staged):
+                files.delete(staged)
+            raise
         return staged
 
     def staged_rows(self, spark: SparkSession, staged: str) -> int:
@@ -111,7 +117,10 @@ class PathTarget:
 
 @dataclass(frozen=True)
 class TableTarget:
-    """A catalog table; a ``transactional`` one must support row-level MERGE."""
+    """A managed catalog table; a ``transactional`` one must support row-level MERGE.
+
+    Other tables are replaced by a renamed copy, which keeps no properties of the old one.
+    """
 
     name: str
     format: str = "parquet"
@@ -127,7 +136,11 @@ class TableTarget:
 
     def stage(self, frame: DataFrame) -> str:
         staged = f"{self.name}__staged_{uuid.uuid4().hex}"
-        self._save(frame, staged, "error")
+        try:
+            self._save(frame, staged, "error")
+        except Exception:
+            frame.sparkSession.sql(f"DROP TABLE IF EXISTS {staged}")
+            raise
         return staged
 
     def staged_rows(self, spark: SparkSession, staged: str) -> int:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 # Separators that are tried.
 SEPARATORS = [",", "|", ";", "\t"]
@@ -26,7 +26,8 @@ def typed_csv(
     """Header row, typed columns, empty fields (quoted or not) as null.
 
     Give a ``schema`` for anything large: without one Spark reads the files a second time to
-    infer it.  The header is checked against the schema and a value that does not fit its
+    infer it.  Inferred whole numbers become ``bigint``, so that a target made from one file
+    has room for the values of the next.  The header is checked against the schema and a value that does not fit its
     type fails the query rather than turning into null.  ``multi_line`` is needed for line
     breaks inside quotes; such files cannot be split among tasks, so it is off by default.
     """
@@ -39,10 +40,14 @@ def typed_csv(
         .option("mode", "FAILFAST")
     )
     if schema is None:
-        reader = reader.option("inferSchema", True)
-    else:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        schema = StructType(
+            [
+                StructField(field.name, LongType()) if field.dataType == IntegerType() else field
+                for field in inferred
+            ]
+        )
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
 
 
 def raw_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -75,6 +75,16 @@ def test_full_load_aborts_on_row_loss(spark, target):
     assert leftovers(target, spark) == own_name(target)
 
 
+def test_a_failed_load_leaves_no_trace(spark, target):
+    load(numbers(spark, 5), target, "fullload")
+    bad = numbers(spark, 5).withColumn("amount", F.lit("much"))
+    for how in ({"strategy": "fullload"}, {"strategy": "merge", "key": "id", "stored_source": True}):
+        with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+            load(bad, target, **how)
+    assert target.read(spark).count() == 5
+    assert leftovers(target, spark) == own_name(target)
+
+
 def test_full_load_may_grow_and_may_fill_an_empty_target(spark, target):
     load(numbers(spark, 0), target, "append")
     assert load(numbers(spark, 3), target, "fullload").first().loss_pct == -300.0

@@ -174,7 +174,7 @@ def test_typed_csv(spark, tmp_path, separator):
     path.write_text("".join(separator.join(line) + "\n" for line in lines))
     assert sniff_separator(spark, str(path)) == separator
     frame = typed_csv(spark, str(path))
-    assert frame.dtypes == [("id", "int"), ("note", "string"), ("size", "double"), ("day", "date")]
+    assert frame.dtypes == [("id", "bigint"), ("note", "string"), ("size", "double"), ("day", "date")]
     rows = {row.id: row for row in frame.collect()}
     assert (rows[1].note, rows[1].size) == ('say "hi"', None)
     assert (rows[2].note, rows[2].size, rows[2].day) == (None, 1.5, None)

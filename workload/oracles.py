@@ -224,26 +224,15 @@ ORACLES: dict[str, str] = {
     "csv_raw_scan": _ORDERS_TEXT,
     "schema_fields": """
   SELECT position::INTEGER AS position, column_name, type_text, true AS nullable
-  FROM (SELECT 0 AS position, 'o_orderkey' AS column_name,
-               CASE WHEN max(o_orderkey) > 2147483647 THEN 'LongType()' ELSE 'IntegerType()' END
-                 AS type_text FROM orders
-        UNION ALL
-        SELECT 1, 'o_custkey', CASE WHEN max(o_custkey) > 2147483647 THEN 'LongType()'
-                                    ELSE 'IntegerType()' END FROM orders
-        UNION ALL
-        VALUES (2, 'o_orderstatus', 'StringType()'), (3, 'o_totalprice', 'DoubleType()'),
-               (4, 'o_orderdate', 'TimestampType()'), (5, 'o_orderpriority', 'StringType()'))""",
+  FROM (VALUES (0, 'o_orderkey', 'LongType()'), (1, 'o_custkey', 'LongType()'),
+               (2, 'o_orderstatus', 'StringType()'), (3, 'o_totalprice', 'DoubleType()'),
+               (4, 'o_orderdate', 'TimestampType()'), (5, 'o_orderpriority', 'StringType()'))
+       AS fields(position, column_name, type_text)""",
     "schema_drift": """
-  SELECT * FROM (
-    SELECT 'o_orderkey' AS column_name, 'type' AS kind, 'LongType()' AS expected,
-           'IntegerType()' AS actual FROM orders HAVING max(o_orderkey) <= 2147483647
-    UNION ALL
-    SELECT 'o_custkey', 'type', 'LongType()', 'IntegerType()' FROM orders
-    HAVING max(o_custkey) <= 2147483647
-    UNION ALL
-    VALUES ('o_orderdate', 'type', 'TimestampNTZType()', 'TimestampType()'),
-           ('o_orderpriority', 'missing', 'StringType()', NULL),
-           ('o_priority', 'unexpected', NULL, 'StringType()'))""",
+  SELECT * FROM (VALUES ('o_orderdate', 'type', 'TimestampNTZType()', 'TimestampType()'),
+                        ('o_orderpriority', 'missing', 'StringType()', NULL),
+                        ('o_priority', 'unexpected', NULL, 'StringType()'))
+       AS drift(column_name, kind, expected, actual)""",
     "schema_approval_state": """
   SELECT 'crm' AS schema_name, 't' || c_custkey AS table_name,
          CASE WHEN bool_or(o_totalprice > 480000) THEN 'approved'

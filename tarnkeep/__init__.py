@@ -8,7 +8,7 @@ from tarnkeep.plans.freshness import (
 )
 from tarnkeep.plans.gated_etl import SchemaDrift, check_schema, gated_etl
 from tarnkeep.plans.load import LoadRejected, load
-from tarnkeep.plans.sync_log import sync_log, sync_targets
+from tarnkeep.plans.sync_log import log_sync, sync_log, sync_targets
 from tarnkeep.session import apply_settings
 from tarnkeep.sinks.log_tables import append_log, jdbc_options
 from tarnkeep.sinks.targets import PathTarget, TableTarget
@@ -32,6 +32,7 @@ __all__ = [
     "jdbc_options",
     "load",
     "log_freshness",
+    "log_sync",
     "raw_csv",
     "sync_log",
     "sync_targets",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -42,3 +42,9 @@ def sync_log(
     else:
         outcomes = sync_outcomes(responses, sync_final_state(polls))
     return run_log_rows(targets, outcomes, ntz(run_ts), dry_run)
+
+
+def log_sync(rows: DataFrame, append: Callable[[DataFrame], None] | None) -> None:
+    """Hand all rows to ``append`` at once; nothing is written if there is no log."""
+    if append is not None:
+        append(rows)

@@ -8,7 +8,8 @@ from tarnkeep.operators.runs import (
     sync_latest_status,
     sync_outcomes,
 )
-from tarnkeep.plans.sync_log import sync_log, sync_targets
+from tarnkeep.plans.sync_log import log_sync, sync_log, sync_targets
+from tarnkeep.sinks.log_tables import append_log
 
 RUN_TS = datetime(2024, 5, 1, 12)
 POLLS = (
@@ -155,6 +156,13 @@ def test_dry_run(targets):
     assert all(row.IsDryRun and row.BatchId == "N/A" for row in rows)
 
 
+def test_logging_is_optional(spark, targets, tmp_path):
+    rows = sync_log(targets, RUN_TS, dry_run=True)
+    log_sync(rows, None)
+    log_sync(rows, lambda frame: append_log(frame, "parquet", path=str(tmp_path / "log")))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
+
+
 def test_no_targets_no_rows(targets):
     assert sync_log(targets.limit(0), RUN_TS, dry_run=True).count() == 0
 

@@ -6,21 +6,27 @@ An age is ``now - ts`` in hours.  The difference is taken between two
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 _SPLITTER = 134217729.0  # 2**27 + 1: cuts a double into two halves of at most 26 bits
 
 
-def ntz(moment: datetime | str | Column) -> Column:
-    """A ``TIMESTAMP_NTZ`` column from a literal or an existing column."""
+def ntz(moment: datetime | str | Column | None) -> Column:
+    """A ``TIMESTAMP_NTZ`` column from a UTC time, from an existing column, or of right now.
+
+    Now is read once, on the driver, so that everything made from it carries the same time.
+    """
     if isinstance(moment, Column):
         return moment
+    if moment is None:
+        moment = datetime.now(timezone.utc)
     if isinstance(moment, datetime):
         if moment.tzinfo is not None:
-            raise ValueError("pass a UTC time without a zone")
+            moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
         moment = moment.isoformat(sep=" ")
     return F.lit(moment).cast("timestamp_ntz")
 
@@ -32,6 +38,13 @@ def utc_wall_time(ts: Column) -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz") + since_epoch
 
 
+def without_zone(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` with the time column ``name`` as UTC wall-clock time, if it has a zone."""
+    if frame.schema[name].dataType != TimestampType():
+        return frame
+    return frame.withColumn(name, utc_wall_time(F.col(name)))
+
+
 def age_hours(ts: Column, now: Column) -> Column:
     """Hours from ``ts`` to ``now`` as an unrounded double; negative for a future ``ts``."""
     seconds = (now - ts).cast("decimal(18,6)").cast("double")

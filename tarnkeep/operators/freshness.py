@@ -7,7 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnkeep.functions.ages import age_hours, fixed_point, ntz, round_half_even
+from tarnkeep.functions.ages import (
+    age_hours,
+    fixed_point,
+    ntz,
+    round_half_even,
+    without_zone,
+)
 from tarnkeep.functions.names import pad_to
 
 DEFAULT_THRESHOLD_HOURS = 24.0
@@ -32,7 +38,7 @@ def latest_log_file(files: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
     )
     error = F.min("error") if "error" in files.columns else F.lit(None).cast("string")
-    return files.groupBy(*keys).agg(
+    return without_zone(files, "modified").groupBy(*keys).agg(
         newest["file_name"].alias("latest_file"),
         F.max("modified").alias("latest_ts"),
         error.alias("error"),

@@ -33,12 +33,12 @@ def freshness(
     targets: DataFrame,
     tables: DataFrame,
     files: DataFrame,
-    now: datetime | str | Column,
+    now: datetime | str | Column | None = None,
     threshold_hours: float = DEFAULT_THRESHOLD_HOURS,
     keys: Sequence[str] = ("item_id", "table_path"),
     keep: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """Detail and summary rows of one run at the UTC time ``now``.
+    """Detail and summary rows of one run at the UTC time ``now`` (by default right now).
 
     ``tables`` and ``files`` may cover more items than the targets.  With ``keep`` the table
     ages are computed once, in the shared folder, and both results read them from there; set
@@ -57,7 +57,7 @@ def freshness(
 def freshness_on_mount(
     targets: DataFrame,
     root: str,
-    now: datetime | str | Column,
+    now: datetime | str | Column | None = None,
     threshold_hours: float = DEFAULT_THRESHOLD_HOURS,
     tasks: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:

@@ -28,7 +28,7 @@ def sync_targets(
 
 def sync_log(
     targets: DataFrame,
-    run_ts: datetime | str | Column,
+    run_ts: datetime | str | Column | None = None,
     responses: DataFrame | None = None,
     polls: DataFrame | None = None,
     dry_run: bool = False,

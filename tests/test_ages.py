@@ -1,9 +1,16 @@
 import random
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
-from tarnkeep.functions.ages import age_hours, fixed_point, ntz, round_half_even, utc_wall_time
+from tarnkeep.functions.ages import (
+    age_hours,
+    fixed_point,
+    ntz,
+    round_half_even,
+    utc_wall_time,
+    without_zone,
+)
 
 NOW = datetime(2024, 5, 1)
 
@@ -55,7 +62,18 @@ def test_age_ignores_the_session_zone(spark):
         age = frame.select(age_hours(F.col("ts"), ntz("2024-03-10 03:00:00"))).first()[0]
         assert age == 2.0
         utc = spark.sql("SELECT timestamp_micros(1704067200123456) AS ts")
+        assert without_zone(utc, "ts").first().ts == datetime(2024, 1, 1, 0, 0, 0, 123456)
+        assert without_zone(frame, "ts") is frame
         wall = utc.select(utc_wall_time(F.col("ts"))).first()[0]
         assert wall == datetime(2024, 1, 1, 0, 0, 0, 123456)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_moments(spark):
+    zoned = datetime(2024, 5, 1, 14, tzinfo=timezone(timedelta(hours=2)))
+    one = spark.range(1)
+    assert one.select(ntz(zoned)).first()[0] == datetime(2024, 5, 1, 12)
+    assert one.select(ntz("2024-05-01 12:00:00.5")).first()[0].microsecond == 500_000
+    now = one.select(ntz(None)).first()[0]
+    assert abs(now - datetime.now(timezone.utc).replace(tzinfo=None)) < timedelta(minutes=1)

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarnkeep.functions.casts import strict_cast
+
 FIELDS = "position int, column_name string, type_text string, nullable boolean"
 
 # File names in a schema registry.
@@ -51,7 +53,7 @@ def cast_to(frame: DataFrame, schema: StructType) -> DataFrame:
     """
 
     def cast(field):
-        value = F.col(f"`{field.name}`").cast(field.dataType)
+        value = strict_cast(frame.sparkSession, F.col(f"`{field.name}`"), field.dataType)
         if not field.nullable:
             refusal = F.raise_error(F.lit(f"null in non-nullable field {field.name}"))
             value = F.when(value.isNotNull(), value).otherwise(refusal.cast(field.dataType))

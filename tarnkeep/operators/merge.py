@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tarnkeep.functions.casts import strict_cast
+
 
 def conform(source: DataFrame, schema: StructType) -> DataFrame:
     """Columns by name, in the order and the types of ``schema``.
@@ -18,8 +20,12 @@ def conform(source: DataFrame, schema: StructType) -> DataFrame:
     extra = sorted(set(source.columns) - set(schema.names))
     if missing or extra:
         raise ValueError(f"source does not fit the target: missing {missing}, extra {extra}")
+    spark = source.sparkSession
     return source.select(
-        *[F.col(f"`{field.name}`").cast(field.dataType).alias(field.name) for field in schema]
+        *[
+            strict_cast(spark, F.col(f"`{field.name}`"), field.dataType).alias(field.name)
+            for field in schema
+        ]
     )
 
 

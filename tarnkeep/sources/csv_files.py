@@ -27,9 +27,10 @@ def typed_csv(
 
     Give a ``schema`` for anything large: without one Spark reads the files a second time to
     infer it.  Inferred whole numbers become ``bigint``, so that a target made from one file
-    has room for the values of the next.  The header is checked against the schema and a value that does not fit its
-    type fails the query rather than turning into null.  ``multi_line`` is needed for line
-    breaks inside quotes; such files cannot be split among tasks, so it is off by default.
+    has room for the values of the next.  The header is checked against the schema and a
+    value that does not fit its type fails the query rather than turning into null.
+    ``multi_line`` is needed for line breaks inside quotes; such files cannot be split among
+    tasks, so it is off by default.
     """
     reader = (
         spark.read.option("header", True)

@@ -78,9 +78,9 @@ def test_full_load_aborts_on_row_loss(spark, target):
 def test_a_failed_load_leaves_no_trace(spark, target):
     load(numbers(spark, 5), target, "fullload")
     bad = numbers(spark, 5).withColumn("amount", F.lit("much"))
-    for how in ({"strategy": "fullload"}, {"strategy": "merge", "key": "id", "stored_source": True}):
+    for strategy in ("fullload", "merge"):
         with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-            load(bad, target, **how)
+            load(bad, target, strategy, key="id", stored_source=True)
     assert target.read(spark).count() == 5
     assert leftovers(target, spark) == own_name(target)
 

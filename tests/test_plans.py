@@ -87,7 +87,8 @@ def test_null_keys_of_a_merge_target_are_spread(spark, tmp_path, no_broadcast):
     target = spark.range(0, 60_000, 1, 12).select(
         F.when(F.col("id") % 3 != 0, F.col("id")).alias("key"), wide(F.col("id")).alias("text")
     )
-    source = spark.range(0, 30_000).select(F.col("id").alias("key"), wide(F.col("id")).alias("text"))
+    source = spark.range(0, 30_000).withColumn("text", wide(F.col("id")))
+    source = source.withColumnRenamed("id", "key")
     merged = merge_rows(source, target, "key").filter("key IS NULL")
     spread = merged.groupBy(F.spark_partition_id()).count().collect()
     assert sum(row["count"] for row in spread) == 20_000
@@ -99,7 +100,8 @@ def test_a_hot_key_of_a_merge_target_is_cut_up(spark, tmp_path, small_skew):
         F.when(F.col("id") % 3 != 0, F.col("id")).otherwise(-5).alias("key"),
         wide(F.col("id")).alias("text"),
     )
-    source = spark.range(0, 3_000).select(F.col("id").alias("key"), wide(F.col("id")).alias("text"))
+    source = spark.range(0, 3_000).withColumn("text", wide(F.col("id")))
+    source = source.withColumnRenamed("id", "key")
     text, largest, rows = run_plan(merge_rows(source, target, "key"), tmp_path)
     assert "SortMergeJoin(skew=true)" in text
     assert rows == 60_000 + 1_000

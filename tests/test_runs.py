@@ -64,7 +64,8 @@ def test_a_running_batch_has_no_final_state(spark):
 
 
 def test_equal_poll_times_go_by_number(spark):
-    rows = [(1, "b", 5, True, '{"progressState": "z"}'), (1, "b", 5, True, '{"progressState": "a"}')]
+    bodies = ['{"progressState": "z"}', '{"progressState": "a"}']
+    rows = [(1, "b", 5, True, body) for body in bodies]
     assert sync_final_state(polls(spark, rows)).first().final_state == "z"
 
 

@@ -12,6 +12,7 @@ from tarnkeep.operators.drift import (
     schema_drift,
     schema_fields,
 )
+from tarnkeep.operators.merge import conform
 from tarnkeep.plans.gated_etl import SchemaDrift, check_schema, gated_etl
 from tarnkeep.sinks.targets import PathTarget
 from tarnkeep.sources.csv_files import raw_csv, sniff_separator, typed_csv
@@ -94,6 +95,20 @@ def test_cast_goes_by_name(spark):
     assert cast_to(frame, schema).columns == schema.names
 
 
+def test_casts_are_as_strict_without_ansi_mode(spark):
+    schema = StructType.fromDDL("id int")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for cast in (cast_to, conform):
+            for bad in ("big", "99999999999"):
+                with pytest.raises(Exception, match="does not fit int"):
+                    cast(spark.sql(f"SELECT '{bad}' AS id"), schema).collect()
+            good = cast(spark.sql("SELECT * FROM VALUES ('7'), (null) AS t(id)"), schema)
+            assert {row.id for row in good.collect()} == {7, None}
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_cast_refuses_bad_values_and_nulls(spark):
     schema = StructType.fromDDL("id int NOT NULL, size int")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
@@ -138,7 +153,9 @@ def orders_csv(tmp_path):
 def test_gate_from_first_run_to_append(spark, tmp_path, orders_csv):
     registry = SchemaRegistry(spark, str(tmp_path / "registry"))
     target = PathTarget(str(tmp_path / "orders"))
-    run = lambda **how: gated_etl(orders_csv, registry, "sales", "orders", target, **how)
+
+    def run(**how):
+        return gated_etl(orders_csv, registry, "sales", "orders", target, **how)
 
     with pytest.raises(SchemaMissing):
         registry.approved("sales", "orders")
@@ -174,7 +191,8 @@ def test_typed_csv(spark, tmp_path, separator):
     path.write_text("".join(separator.join(line) + "\n" for line in lines))
     assert sniff_separator(spark, str(path)) == separator
     frame = typed_csv(spark, str(path))
-    assert frame.dtypes == [("id", "bigint"), ("note", "string"), ("size", "double"), ("day", "date")]
+    types = {"id": "bigint", "note": "string", "size": "double", "day": "date"}
+    assert dict(frame.dtypes) == types
     rows = {row.id: row for row in frame.collect()}
     assert (rows[1].note, rows[1].size) == ('say "hi"', None)
     assert (rows[2].note, rows[2].size, rows[2].day) == (None, 1.5, None)

@@ -65,7 +65,8 @@ _SUMMARY = f"""
          max(ts) AS "LatestDeltaLogTs", min(ts) AS "OldestDeltaLogTs",
          nullif(max(age_hours), 0) AS "MaxAgeHours", nullif(min(age_hours), 0) AS "MinAgeHours",
          CAST(24 AS DOUBLE) AS "ThresholdHours",
-         CASE WHEN count(ts) > 0 THEN count(CASE WHEN stale THEN 1 END) = count(ts) END AS "IsPublishingBroken"
+         CASE WHEN count(ts) > 0 THEN count(CASE WHEN stale THEN 1 END) = count(ts) END
+           AS "IsPublishingBroken"
   FROM ({_WAREHOUSES}) LEFT JOIN ({_TABLE_AGES}) USING (item_id)
   GROUP BY item_id, workspace_name, item_name"""
 

@@ -10,7 +10,7 @@ listing.  The path must be mounted on every executor.  For storage that is not m
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -34,47 +34,48 @@ _ENTRY_TYPES = [pa.string(), pa.bool_(), pa.timestamp("us"), pa.string()]
 _ROWS_PER_BATCH = 10_000
 
 
-def _entries(folder: str | None) -> Iterator[tuple]:
-    """(name, is directory, microseconds, error) per entry; nothing for a missing folder.
-
-    A null folder gives one empty entry, so that its row is carried along.
-    """
-    if folder is None:
-        yield None, None, None, None
-        return
-    try:
-        with os.scandir(folder.removeprefix("file://").removeprefix("file:")) as found:
-            for entry in found:
-                modified = entry.stat().st_mtime_ns // 1000
-                yield entry.name, entry.is_dir(), modified, None
-    except FileNotFoundError:
-        return
-    except OSError as error:
-        yield None, None, None, str(error)
-
-
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        position, found = [], []
-
-        def flush(batch=batch):
-            given = batch.take(pa.array(position, pa.int64())).columns
-            added = [
-                pa.array(values, pa_type)
-                for values, pa_type in zip(zip(*found), _ENTRY_TYPES)
-            ]
-            names = batch.schema.names + _ENTRY_FIELDS.names
-            return pa.RecordBatch.from_arrays([*given, *added], names=names)
-
-        for row, folder in enumerate(batch.column("folder").to_pylist()):
-            for entry in _entries(folder):
-                position.append(row)
-                found.append(entry)
-                if len(found) == _ROWS_PER_BATCH:
-                    yield flush()
-                    position, found = [], []
-        if found:
-            yield flush()
+def _scanner() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task body.  Nested functions travel with the plan, so that executors need not have
+    this package installed."""
+
+    def entries(folder: str | None) -> Iterator[tuple]:
+        """(name, is directory, microseconds, error) per entry; nothing for a missing folder.
+
+        A null folder gives one empty entry, so that its row is carried along.
+        """
+        if folder is None:
+            yield None, None, None, None
+            return
+        try:
+            with os.scandir(folder.removeprefix("file://").removeprefix("file:")) as found:
+                for entry in found:
+                    modified = entry.stat().st_mtime_ns // 1000
+                    yield entry.name, entry.is_dir(), modified, None
+        except FileNotFoundError:
+            return
+        except OSError as error:
+            yield None, None, None, str(error)
+
+    def rows(batch: pa.RecordBatch, position: list, found: list) -> pa.RecordBatch:
+        given = batch.take(pa.array(position, pa.int64())).columns
+        added = [pa.array(values, kind) for values, kind in zip(zip(*found), _ENTRY_TYPES)]
+        names = batch.schema.names + _ENTRY_FIELDS.names
+        return pa.RecordBatch.from_arrays([*given, *added], names=names)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            position, found = [], []
+            for row, folder in enumerate(batch.column("folder").to_pylist()):
+                for entry in entries(folder):
+                    position.append(row)
+                    found.append(entry)
+                    if len(found) == _ROWS_PER_BATCH:
+                        yield rows(batch, position, found)
+                        position, found = [], []
+            if found:
+                yield rows(batch, position, found)
+
+    return scan
 
 
 def list_entries(folders: DataFrame, tasks: int | None = None) -> DataFrame:
@@ -86,7 +87,7 @@ def list_entries(folders: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     count = tasks or int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = StructType(folders.schema.fields + _ENTRY_FIELDS.fields)
-    return folders.repartition(count, "folder").mapInArrow(_scan, schema)
+    return folders.repartition(count, "folder").mapInArrow(_scanner(), schema)
 
 
 def list_tables(items: DataFrame, tasks: int | None = None) -> DataFrame:

@@ -1,9 +1,17 @@
 import os
+import subprocess
+import sys
 from datetime import datetime
 
 import pytest
+from pyspark.cloudpickle import dumps
 
-from tarnkeep.sources.folders import indexed_log_files, list_log_files, list_tables
+from tarnkeep.sources.folders import (
+    _scanner,
+    indexed_log_files,
+    list_log_files,
+    list_tables,
+)
 
 
 def put(path, seconds, text="x"):
@@ -60,6 +68,13 @@ def test_unreadable_folders_become_rows(spark, tree):
     assert "Not a directory" in files["Tables/s/c"].error
 
 
+def test_tasks_do_not_need_the_package(tmp_path):
+    task = tmp_path / "task"
+    task.write_bytes(dumps(_scanner()))
+    load = f"import pickle; pickle.load(open({str(task)!r}, 'rb'))"
+    subprocess.run([sys.executable, "-I", "-c", load], cwd=tmp_path, check=True)
+
+
 def test_more_entries_than_one_batch(spark, tmp_path):
     log = tmp_path / "i/Tables/s/t/_delta_log"
     log.mkdir(parents=True)

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
@@ -66,7 +66,7 @@ def load(
     if before is not None:
         source = conform(source, before.schema)
     if strategy == "append":
-        source_rows, loss, required = _append(source, target)
+        source_rows, loss, required = target.append(source), None, None
     elif strategy == "fullload":
         source_rows, loss, required = _full(
             source, target, None if before is None else rows_before, allow_empty, max_loss_pct
@@ -82,12 +82,6 @@ def load(
     return spark.createDataFrame([report], REPORT)
 
 
-def _append(source, target):
-    written = Observation("appended rows")
-    target.append(source.observe(written, F.count(F.lit(1)).alias("rows")))
-    return written.get["rows"], None, None
-
-
 def _full(source, target, rows_before, allow_empty, max_loss_pct):
     """The staged copy is what gets counted, so the source is read only once."""
     spark = source.sparkSession

@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnkeep.storage import Storage
@@ -25,14 +25,17 @@ from tarnkeep.storage import Storage
 RECORDS_PER_FILE = 500_000
 
 
-def _writer(frame: DataFrame, partition_by: Sequence[str]) -> DataFrameWriter:
-    if not partition_by:
-        return frame.write.option("maxRecordsPerFile", RECORDS_PER_FILE)
-    # Rows of a partition are brought together; a hot partition is still split among tasks.
-    gathered = frame.hint("rebalance", *partition_by)
-    return gathered.write.option("maxRecordsPerFile", RECORDS_PER_FILE).partitionBy(
-        *partition_by
-    )
+def _writer(
+    frame: DataFrame, partition_by: Sequence[str], written: Observation | None = None
+) -> DataFrameWriter:
+    if partition_by:
+        # Rows of a partition are brought together; a hot one is still split among tasks.
+        frame = frame.hint("rebalance", *partition_by)
+    if written is not None:
+        # Above any shuffle: a shuffle's tasks may run, and count, more than once.
+        frame = frame.observe(written, F.count(F.lit(1)).alias("rows"))
+    writer = frame.write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    return writer.partitionBy(*partition_by) if partition_by else writer
 
 
 @dataclass(frozen=True)
@@ -50,8 +53,12 @@ class PathTarget:
             return None
         return spark.read.format(self.format).load(self.path)
 
-    def append(self, frame: DataFrame) -> None:
-        _writer(frame, self.partition_by).format(self.format).mode("append").save(self.path)
+    def append(self, frame: DataFrame) -> int:
+        """Add all rows and return how many they were."""
+        written = Observation()
+        writer = _writer(frame, self.partition_by, written).format(self.format)
+        writer.mode("append").save(self.path)
+        return written.get["rows"]
 
     def stage(self, frame: DataFrame) -> str:
         staged = f"{self._base}__staged_{uuid.uuid4().hex}"
@@ -96,7 +103,10 @@ class PathTarget:
             files.rename(self._backup, self._base)
 
     def replace_partitions(self, frame: DataFrame) -> None:
-        """Overwrite just the partitions that ``frame`` has rows for; it may read the target."""
+        """Overwrite just the partitions that ``frame`` has rows for; it may read the target.
+
+        All of ``frame`` is written aside before the first partition is exchanged.
+        """
         (
             _writer(frame, self.partition_by)
             .format(self.format)
@@ -131,8 +141,11 @@ class TableTarget:
         """Current rows, or None if there is no such table; any other failure is raised."""
         return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
 
-    def append(self, frame: DataFrame) -> None:
-        self._save(frame, self.name, "append")
+    def append(self, frame: DataFrame) -> int:
+        """Add all rows and return how many they were."""
+        written = Observation()
+        self._save(frame, self.name, "append", written)
+        return written.get["rows"]
 
     def stage(self, frame: DataFrame) -> str:
         staged = f"{self.name}__staged_{uuid.uuid4().hex}"
@@ -175,8 +188,11 @@ class TableTarget:
         merging = source.alias("source").mergeInto(self.name, matched)
         merging.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
-    def _save(self, frame: DataFrame, name: str, mode: str) -> None:
-        _writer(frame, self.partition_by).format(self.format).mode(mode).saveAsTable(name)
+    def _save(
+        self, frame: DataFrame, name: str, mode: str, written: Observation | None = None
+    ) -> None:
+        writer = _writer(frame, self.partition_by, written).format(self.format)
+        writer.mode(mode).saveAsTable(name)
 
     def _rename(self, spark: SparkSession, name: str, new_name: str) -> None:
         spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")

@@ -54,6 +54,23 @@ def test_append_keeps_every_row(spark, target):
     assert report.required_rows is None
 
 
+@pytest.mark.parametrize("partition_by", [(), ("part",)])
+def test_append_of_nothing(spark, tmp_path, partition_by):
+    target = PathTarget(str(tmp_path / "t"), partition_by=partition_by)
+    load(numbers(spark, 3), target, "append")
+    for empty in (frame(spark, []), numbers(spark, 3).filter("false"), numbers(spark, 0)):
+        assert load(empty, target, "append").first().source_rows == 0
+    assert target.read(spark).count() == 3
+
+
+def test_append_to_partitions_counts_rows(spark, tmp_path):
+    target = PathTarget(str(tmp_path / "t"), partition_by=("part",))
+    rows = numbers(spark, 1000).withColumn("part", (F.col("id") % 3).cast("string"))
+    for before in (0, 1000):
+        report = load(rows, target, "append").first()
+        assert (report.source_rows, report.target_rows_before) == (1000, before)
+
+
 def test_append_matches_columns_by_name_and_casts(spark, target):
     load(frame(spark, [(1, "a", 1)]), target, "append")
     load(frame(spark, [("5", 2, "b")], "amount string, id int, part string"), target, "append")

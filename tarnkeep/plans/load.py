@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
@@ -139,9 +139,14 @@ def _merge_stored(source, target, before, key, on_duplicate, order_by):
         return keys.source_rows, None, required
 
     small = keys.distinct_keys <= BROADCAST_KEYS and keys.key_bytes <= BROADCAST_BYTES
+    partition_by = target.partition_by if isinstance(target, PathTarget) else ()
+    matches = _matches(source, before, key, partition_by, small)
+    if matches.here + matches.elsewhere == 0:
+        target.append(source)
+        return keys.source_rows, None, required
     touched = None
-    if isinstance(target, PathTarget) and target.partition_by:
-        touched = _touched_partitions(source, before, key, target.partition_by, small)
+    if partition_by and matches.elsewhere == 0:
+        touched = _partition_filter(source, partition_by)
     if touched is not None:
         target.replace_partitions(merge_rows(source, before.filter(touched), key, small))
     else:
@@ -149,22 +154,28 @@ def _merge_stored(source, target, before, key, on_duplicate, order_by):
     return keys.source_rows, None, required
 
 
-def _touched_partitions(
+def _matches(
     source: DataFrame, before: DataFrame, key: str, partition_by: Sequence[str], small: bool
-) -> Column | None:
-    """Filter for the partitions a merge has to rewrite; None if that must be all of them.
+) -> Row:
+    """How many target rows match ``here``, in the partition of their source row, or
+    ``elsewhere``.
 
-    Rewriting just the source's partitions is right only if no matched row lives in another
-    one.  That is tested on the key and partition columns alone.
+    This reads the key and partition columns alone and tells whether rows of the target have to
+    be rewritten at all, and whether rewriting the source's partitions is enough.
     """
     moved_to = {name: f"source_{name}" for name in partition_by}
     rows = source.select(key, *[F.col(name).alias(new) for name, new in moved_to.items()])
+    same = reduce(and_, [F.equal_null(*names) for names in moved_to.items()], F.lit(True))
     pairs = before.select(*dict.fromkeys([key, *partition_by])).join(
         F.broadcast(rows) if small else rows, key
     )
-    same = reduce(and_, [F.equal_null(name, new) for name, new in moved_to.items()])
-    if not pairs.filter(~same).isEmpty():
-        return None
+    return pairs.agg(
+        F.count_if(same).alias("here"), F.count_if(~same).alias("elsewhere")
+    ).first()
+
+
+def _partition_filter(source: DataFrame, partition_by: Sequence[str]) -> Column | None:
+    """Filter for the partitions of the source; None if they are too many to be named."""
     found = source.select(*partition_by).distinct().limit(LISTED_PARTITIONS + 1).collect()
     if len(found) > LISTED_PARTITIONS:
         return None

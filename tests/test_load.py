@@ -228,6 +228,27 @@ def test_merge_rewrites_only_the_touched_partitions(spark, tmp_path):
     assert rows_of(got) == rows_of(frame(spark, expected))
 
 
+@pytest.mark.parametrize("partition_by", [(), ("part",)])
+def test_merge_without_any_match_only_appends(spark, tmp_path, partition_by):
+    target = PathTarget(str(tmp_path / "t"), partition_by=partition_by)
+    load(frame(spark, PARTS), target, "append")
+    old = {path: os.stat(path).st_mtime_ns for path in files_of(target)}
+    source = frame(spark, [(100, "a", 1), (101, "x", 2), (None, "b", 3)])
+    load(source, target, "merge", key="id")
+    assert old.items() <= {path: os.stat(path).st_mtime_ns for path in files_of(target)}.items()
+    got = target.read(spark).select("id", "part", "amount")
+    assert rows_of(got) == rows_of(frame(spark, PARTS).unionAll(source))
+
+
+def files_of(target):
+    return [
+        os.path.join(folder, name)
+        for folder, _, names in os.walk(target.path)
+        for name in names
+        if name.endswith(".parquet")
+    ]
+
+
 @pytest.mark.parametrize("limit", [1000, 1])
 def test_merge_of_a_row_that_changes_partition(spark, tmp_path, monkeypatch, limit):
     monkeypatch.setattr(load_plan, "LISTED_PARTITIONS", limit)

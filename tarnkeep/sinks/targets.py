@@ -129,7 +129,9 @@ class PathTarget:
 class TableTarget:
     """A managed catalog table; a ``transactional`` one must support row-level MERGE.
 
-    Other tables are replaced by a renamed copy, which keeps no properties of the old one.
+    Other tables are replaced by a renamed copy, which keeps no properties of the old one.  A
+    catalog need not move partitions along with a renamed table, so a partitioned table is
+    written anew from its staged copy, which stays until that is done.
     """
 
     name: str
@@ -144,15 +146,18 @@ class TableTarget:
     def append(self, frame: DataFrame) -> int:
         """Add all rows and return how many they were."""
         written = Observation()
-        self._save(frame, self.name, "append", written)
+        partition_by = self._partitions(frame.sparkSession)
+        self._save(frame, self.name, "append", partition_by, written)
         return written.get["rows"]
 
     def stage(self, frame: DataFrame) -> str:
-        staged = f"{self.name}__staged_{uuid.uuid4().hex}"
+        spark = frame.sparkSession
+        renamed = f"{self.name}__staged_{uuid.uuid4().hex}"
+        staged = self._pending if self._partitions(spark) else renamed
         try:
             self._save(frame, staged, "error")
         except Exception:
-            frame.sparkSession.sql(f"DROP TABLE IF EXISTS {staged}")
+            spark.sql(f"DROP TABLE IF EXISTS {staged}")
             raise
         return staged
 
@@ -160,27 +165,34 @@ class TableTarget:
         return spark.table(staged).count()
 
     def publish(self, spark: SparkSession, staged: str) -> None:
-        if not spark.catalog.tableExists(self.name):
-            self._rename(spark, staged, self.name)
-        elif self.transactional:
-            self._save(spark.table(staged), self.name, "overwrite")
+        old = spark.catalog.tableExists(self.name)
+        partition_by = self._partitions(spark)
+        if partition_by or (old and self.transactional):
+            self._save(spark.table(staged), self.name, "overwrite", partition_by)
             self.discard(spark, staged)
-        else:
+            return
+        if old:
             self._rename(spark, self.name, self._backup)
-            self._rename(spark, staged, self.name)
+        self._rename(spark, staged, self.name)
+        if old:
             spark.sql(f"DROP TABLE {self._backup}")
 
     def discard(self, spark: SparkSession, staged: str) -> None:
         spark.sql(f"DROP TABLE {staged}")
 
     def recover(self, spark: SparkSession) -> None:
-        """Finish or undo a swap that was cut off."""
-        if not spark.catalog.tableExists(self._backup):
-            return
-        if spark.catalog.tableExists(self.name):
-            spark.sql(f"DROP TABLE {self._backup}")
-        else:
-            self._rename(spark, self._backup, self.name)
+        """Finish or undo a replacement that was cut off."""
+        present = spark.catalog.tableExists(self.name)
+        if spark.catalog.tableExists(self._pending):
+            if present:
+                self.discard(spark, self._pending)
+            else:
+                self.publish(spark, self._pending)
+        if spark.catalog.tableExists(self._backup):
+            if present:
+                spark.sql(f"DROP TABLE {self._backup}")
+            else:
+                self._rename(spark, self._backup, self.name)
 
     def merge(self, source: DataFrame, key: str) -> None:
         """The table format's own MERGE: update every match, insert the rest."""
@@ -189,14 +201,29 @@ class TableTarget:
         merging.whenMatched().updateAll().whenNotMatched().insertAll().merge()
 
     def _save(
-        self, frame: DataFrame, name: str, mode: str, written: Observation | None = None
+        self,
+        frame: DataFrame,
+        name: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        written: Observation | None = None,
     ) -> None:
-        writer = _writer(frame, self.partition_by, written).format(self.format)
+        writer = _writer(frame, partition_by, written).format(self.format)
         writer.mode(mode).saveAsTable(name)
 
+    def _partitions(self, spark: SparkSession) -> Sequence[str]:
+        """As asked for, or as the table already has them."""
+        if self.partition_by or not spark.catalog.tableExists(self.name):
+            return self.partition_by
+        return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
+
     def _rename(self, spark: SparkSession, name: str, new_name: str) -> None:
         spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
 
     @property
     def _backup(self) -> str:
         return f"{self.name}__previous"
+
+    @property
+    def _pending(self) -> str:
+        return f"{self.name}__pending"

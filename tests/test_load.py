@@ -309,6 +309,31 @@ def test_transactional_targets_are_overwritten_in_place(spark, tmp_path, kind):
     assert leftovers(target, spark) == own_name(target)
 
 
+def test_a_replaced_table_keeps_its_partitions(spark, tmp_path):
+    name = f"parted_{abs(hash(str(tmp_path)))}"
+    load(frame(spark, PARTS), TableTarget(name, partition_by=("part",)), "append")
+    for how in ({"strategy": "merge", "key": "id"}, {"strategy": "append"}):
+        load(frame(spark, [(3, "c", 30)]), TableTarget(name), **how)
+        columns = spark.catalog.listColumns(name)
+        assert [column.name for column in columns if column.isPartition] == ["part"]
+    assert spark.table(name).filter("id = 3 AND part = 'c'").count() == 2
+    assert spark.table(name).count() == len(PARTS) + 1
+    assert leftovers(TableTarget(name), spark) == [name]
+
+
+def test_a_cut_off_replacement_of_a_partitioned_table(spark, tmp_path):
+    target = TableTarget(f"cut_{abs(hash(str(tmp_path)))}", partition_by=("part",))
+    load(frame(spark, PARTS), target, "append")
+    target.stage(frame(spark, PARTS[:2]))
+    load(frame(spark, []), target, "append")
+    assert target.read(spark).count() == len(PARTS)
+    target.stage(frame(spark, PARTS[:2]))
+    spark.sql(f"DROP TABLE {target.name}")
+    load(frame(spark, []), target, "append")
+    assert target.read(spark).count() == 2
+    assert leftovers(target, spark) == own_name(target)
+
+
 def test_files_are_bounded(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("tarnkeep.sinks.targets.RECORDS_PER_FILE", 10)
     target = PathTarget(str(tmp_path / "t"))

@@ -47,11 +47,16 @@ class Storage:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder name that every executor can reach.
 
-    The cluster names the parent in ``spark.checkpoint.dir``.  Only where that is unset, as
-    in local tests, a folder on this machine is used.
+    The parent is ``spark.checkpoint.dir``, else the session's checkpoint folder.  Only a local
+    session without either may use a folder on this machine; on a cluster that is an error,
+    since each executor would write to a disk of its own.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
+        parent = spark.sparkContext.getCheckpointDir()
+    if not parent:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         parent = tempfile.mkdtemp(prefix="tarnkeep-")
     return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 

@@ -7,10 +7,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as checked
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = checked.queries()
-ORACLES = checked.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import hash_tree, secrets
+from tarnkeep.llm import circulant, hash_tree, secrets
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
@@ -15,12 +15,17 @@ def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.op6(table(apply_settings(spark), sf_dir, "documents"))
 
 
+def op9_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant.op9(table(apply_settings(spark), sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op10(table(apply_settings(spark), sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hash_tree": op6_hash_tree,
+    "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
 }
 

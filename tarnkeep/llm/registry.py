@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import circulant, hash_tree, secrets
+from tarnkeep.llm import circulant, hash_tree, secrets, winnowing
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
 
+def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = apply_settings(spark)
+    documents, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return winnowing.op1(documents, items)
+
+
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.op6(table(apply_settings(spark), sf_dir, "documents"))
 
@@ -24,6 +30,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_winnowing": op1_winnowing,
     "op6_hash_tree": op6_hash_tree,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,

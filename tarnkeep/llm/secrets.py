@@ -230,8 +230,7 @@ def scanned(documents: DataFrame, text: str = "text", reach: int = REACH) -> Dat
         "__key", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256))
     )
     texts = documents.select(F.col("__key").alias("key"), parts(F.col(text)).alias("parts"))
-    texts = texts.filter(F.size("parts") > 0).groupBy("key").agg(F.any_value("parts").alias("parts"))
-    found = written(texts, "secret-parts").select("key", F.inline("parts"))
+    found = written(texts.select("key", F.inline("parts")).distinct(), "secret-parts")
     kept = found.filter(F.col("rank") < len(BASE)).unionByName(linked(found, reach))
     kinds = F.array(*[F.lit(kind) for kind in KINDS])
     spans = kept.groupBy("key").agg(

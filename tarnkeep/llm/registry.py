@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import circulant, hash_tree, secrets, winnowing
+from tarnkeep.llm import bpe_counts, circulant, hash_tree, secrets, winnowing
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
@@ -17,6 +18,11 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.op1(documents, items)
 
 
+def op5_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(apply_settings(spark), sf_dir, "documents")
+    return bpe_counts.token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.op6(table(apply_settings(spark), sf_dir, "documents"))
 
@@ -31,6 +37,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
+    "op5_bpe_counts": op5_bpe_counts,
     "op6_hash_tree": op6_hash_tree,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,

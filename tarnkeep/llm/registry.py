@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import bpe_counts, circulant, hash_tree, secrets, winnowing
+from tarnkeep.llm import bpe_counts, circulant, hash_tree, secrets, vamana, winnowing
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
@@ -27,6 +27,10 @@ def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.op6(table(apply_settings(spark), sf_dir, "documents"))
 
 
+def op7_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.op7(table(apply_settings(spark), sf_dir, "embeddings"))
+
+
 def op9_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.op9(table(apply_settings(spark), sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op5_bpe_counts": op5_bpe_counts,
     "op6_hash_tree": op6_hash_tree,
+    "op7_vamana": op7_vamana,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
 }

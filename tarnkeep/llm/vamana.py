@@ -255,12 +255,13 @@ def nearest(
     points = points.filter(F.col("nth") <= k + 1).groupBy("size", "vector")
     points = points.agg(F.array_sort(F.collect_list("id")).alias("ids"))
     nodes = written(graphs(points, shard_rows), "vector-graphs")
-    shards = nodes.select("size", "shard").distinct()
+    shards = nodes.select(F.col("size").alias("of"), F.col("shard").alias("at")).distinct()
     asked = usable(queries, key, vector).distinct()
     total = asked.count()
     blocks = max(1, -(-total // QUERY_BLOCK))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    asked = asked.join(shards, "size")
+    asked = asked.join(shards, F.col("size") == F.col("of"))
+    asked = asked.select("id", "vector", "size", F.col("at").alias("shard"), "block")
     nodes = nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     by = ["size", "shard", "block"]
     found = (

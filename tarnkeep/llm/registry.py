@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import bpe_counts, circulant, hash_tree, secrets, vamana, winnowing
+from tarnkeep.llm import attention, bpe_counts, circulant, hash_tree, secrets, vamana, winnowing
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
@@ -18,6 +18,11 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.op1(documents, items)
 
 
+def op4_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = apply_settings(spark)
+    return attention.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(apply_settings(spark), sf_dir, "documents")
     return bpe_counts.token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
@@ -41,6 +46,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
+    "op4_attention": op4_attention,
     "op5_bpe_counts": op5_bpe_counts,
     "op6_hash_tree": op6_hash_tree,
     "op7_vamana": op7_vamana,

@@ -7,9 +7,11 @@ coordinate.  Bands of coordinates give candidates, and every candidate is confir
 shingle sets: ``100 * intersection >= percent * union``.
 
 Work on candidates never makes all pairs of a group.  Documents with equal sets are one node.  A
-node first meets the pivot it shares most bands with, then all pivots of its bands, and last
-the nodes of its bands that are still in another component; a pair whose link could not change
-the components is not looked at.
+node first meets the pivot it shares most bands with, then all pivots of its bands, then in
+rounds new pivots: those whose pairs were confirmed most often, like the original of many edited
+copies.  Pairs within a component, whose links could not change the components, are not looked at.
+Rounds go on while they find links and more pairs are open than the groups have members; the few
+pairs that are left then are all confirmed or refuted, so no candidate is lost.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from tarnkeep.llm.tables import written
 SHINGLE_WORDS = 5
 PERCENT = 80
 #: Bands and coordinates per band.  Two sets with a similarity of 0.8 share no band with a
-#: probability of (1 - 0.8**4)**24, three in a million; at 0.9 it is less than one in 10**11.
-BANDS, ROWS = 24, 4
+#: probability of (1 - 0.8**6)**40, five in a million; at 0.85 it is less than one in 10**8.
+BANDS, ROWS = 40, 6
 #: Places on the circle.  Collisions of places only blur the candidates, not the confirmation.
 PLACES = 1 << 20
 SEED = 20240501
@@ -214,31 +216,82 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
     starred = starred.groupBy(*PAIR).agg(F.count("*").alias("bands"))
     starred = written(starred, "minhash-stars")
     best = F.expr("row_number() OVER (PARTITION BY a1, a2 ORDER BY bands DESC, b1, b2)")
-    first = starred.withColumn("place", best).filter("place = 1").select(*PAIR)
-    links = written(_confirmed(first, sets, percent), "minhash-links")
-
-    starred = starred.select(*PAIR)
-    rest = _apart(starred, _rooted(links)).join(first, PAIR, "left_anti")
-    links = links.unionByName(written(_confirmed(rest, sets, percent), "minhash-links"))
-
-    alone = _node("k1", "k2")
-    placed = members.join(_rooted(links), ["k1", "k2"], "left")
-    placed = placed.withColumn("root", F.coalesce("root", alone))
-    spread = placed.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    placed = placed.join(spread.filter("lo <> hi").select("band"), "band", "left_semi")
-    placed = written(placed, "minhash-open")
-    ordered = (F.col("k1") < F.col("b1")) | (
-        (F.col("k1") == F.col("b1")) & (F.col("k2") < F.col("b2"))
-    )
-    right = placed.select("band", *other, F.col("root").alias("rb"))
-    rest = placed.join(right, "band").filter(ordered & sized & (F.col("root") != F.col("rb")))
-    rest = rest.select(*named).distinct()
-    rest = rest.join(starred.unionByName(_flipped(starred)), PAIR, "left_anti")
-    links = links.unionByName(written(_confirmed(rest, sets, percent), "minhash-links"))
+    pairs = written(starred.withColumn("place", best).filter("place = 1").select(*PAIR), "minhash-pairs")
+    tested, links = pairs, written(_confirmed(pairs, sets, percent), "minhash-links")
+    used = pivots.select("band", F.col("b1").alias("k1"), F.col("b2").alias("k2"))
+    alone, number = _node("k1", "k2"), 0
+    while True:
+        roots = written(_rooted(links), "minhash-roots")
+        placed = members.select("band", "k1", "k2", "n").join(roots, ["k1", "k2"], "left")
+        placed = placed.withColumn("root", F.coalesce("root", alone))
+        sizes = placed.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band")
+        sizes = sizes.agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("inside"))
+        placed = placed.join(sizes.filter("all * all > inside").select("band"), "band", "left_semi")
+        placed = written(placed, "minhash-open")
+        open_pairs = F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2)
+        left = sizes.filter("all * all > inside").agg(
+            F.coalesce(open_pairs, F.lit(0)).alias("pairs"),
+            F.coalesce(F.sum("all"), F.lit(0)).alias("members"),
+        ).first()
+        if not left["pairs"]:
+            break
+        last = left["pairs"] <= left["members"] or (number > 1 and not found)
+        if number == 0:
+            pairs = _apart(starred.select(*PAIR), roots)
+        elif last:
+            pairs = _meeting(placed, placed, sized, ordered=True)
+        else:
+            chosen = _hubs(placed, tested, links, used, number)
+            used = written(used.unionByName(chosen.select("band", "k1", "k2")), "minhash-used")
+            pairs = _meeting(placed, chosen, sized, ordered=False)
+        known = tested.unionByName(_flipped(tested))
+        pairs = written(pairs.join(known, PAIR, "left_anti"), "minhash-pairs")
+        confirmed = written(_confirmed(pairs, sets, percent), "minhash-links")
+        found = confirmed.count()
+        tested, links = tested.unionByName(pairs), links.unionByName(confirmed)
+        if number and last:
+            break
+        number += 1
     roots = nodes.join(_rooted(links), ["k1", "k2"], "left")
     return roots.select("k1", "k2", "row", F.coalesce("root", alone).alias("root"))
 
 
+def _meeting(placed: DataFrame, others: DataFrame, sized: Column, ordered: bool) -> DataFrame:
+    """Pairs of a band that are in different components, without repeats."""
+    right = others.select(
+        "band",
+        F.col("k1").alias("b1"),
+        F.col("k2").alias("b2"),
+        F.col("n").alias("bn"),
+        F.col("root").alias("rb"),
+    )
+    pairs = placed.join(right, "band").filter(sized & (F.col("root") != F.col("rb")))
+    if ordered:
+        pairs = pairs.filter("k1 < b1 OR (k1 = b1 AND k2 < b2)")
+    return pairs.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2").distinct()
+
+
+def _hubs(
+    placed: DataFrame, tested: DataFrame, links: DataFrame, used: DataFrame, number: int
+) -> DataFrame:
+    """Of each band the node, not a pivot there before, whose pairs were confirmed most often."""
+
+    def ends(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.unionByName(_flipped(pairs))
+        return both.groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2")).agg(
+            F.count("*").alias(name)
+        )
+
+    rates = ends(tested, "tests").join(ends(links, "hits"), ["k1", "k2"], "left")
+    rate = (F.coalesce("hits", F.lit(0)) + 1) / (F.coalesce("tests", F.lit(0)) + 2)
+    rated = placed.join(used, ["band", "k1", "k2"], "left_anti").join(rates, ["k1", "k2"], "left")
+    order = F.struct(
+        rate.alias("rate"), F.xxhash64(F.lit(number), "band", "k1", "k2").alias("draw"), "k1", "k2", "n", "root"
+    )
+    chosen = rated.groupBy("band").agg(F.max(order).alias("best"))
+    return written(chosen.select("band", "best.k1", "best.k2", "best.n", "best.root"), "minhash-hubs")
+
+
 def near_duplicates(
     documents: DataFrame,
     key: str = "doc_id",

@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnkeep.llm import attention, bpe_counts, circulant, hash_tree, secrets, vamana, winnowing
+from tarnkeep.llm import (
+    attention,
+    bpe_counts,
+    circulant,
+    hash_tree,
+    line_spread,
+    raking,
+    secrets,
+    vamana,
+    winnowing,
+)
 from tarnkeep.llm.tables import table
 from tarnkeep.session import apply_settings
 
@@ -18,6 +28,14 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.op1(documents, items)
 
 
+def op2_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raking.op2(table(apply_settings(spark), sf_dir, "documents"))
+
+
+def op3_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.op3(table(apply_settings(spark), sf_dir, "documents"))
+
+
 def op4_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
     spark = apply_settings(spark)
     return attention.op4(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -46,6 +64,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
+    "op2_raking": op2_raking,
+    "op3_line_spread": op3_line_spread,
     "op4_attention": op4_attention,
     "op5_bpe_counts": op5_bpe_counts,
     "op6_hash_tree": op6_hash_tree,
@@ -54,4 +74,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secrets": op10_secrets,
 }
 
-LLM_ORACLES: dict[str, str] = {}
+LLM_ORACLES: dict[str, str] = {
+    "op2_raking": raking.OP2_SQL,
+    "op3_line_spread": line_spread.OP3_SQL,
+}

@@ -15,6 +15,7 @@ from tarnkeep.llm import (
     hash_tree,
     line_spread,
     raking,
+    repeats,
     secrets,
     vamana,
     winnowing,
@@ -55,6 +56,10 @@ def op7_vamana(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vamana.op7(table(apply_settings(spark), sf_dir, "embeddings"))
 
 
+def op8_suffix_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op8(table(apply_settings(spark), sf_dir, "documents"))
+
+
 def op9_circulant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant.op9(table(apply_settings(spark), sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe_counts": op5_bpe_counts,
     "op6_hash_tree": op6_hash_tree,
     "op7_vamana": op7_vamana,
+    "op8_suffix_groups": op8_suffix_groups,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
     "pipeline": corpus_pipeline.run,

@@ -10,8 +10,8 @@ Work on candidates never makes all pairs of a group.  Documents with equal sets
 node first meets the pivot it shares most bands with, then all pivots of its bands, then in
 rounds new pivots: those whose pairs were confirmed most often, like the original of many edited
 copies.  Pairs within a component, whose links could not change the components, are not looked at.
-Rounds go on while they find links and more pairs are open than the groups have members; the few
-pairs that are left then are all confirmed or refuted, so no candidate is lost.
+Rounds go on while they find links and more pairs are open than the groups have members; all
+pairs that are open then are confirmed or refuted, so no candidate is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +33,8 @@ PERCENT = 80
 #: Bands and coordinates per band.  Two sets with a similarity of 0.8 share no band with a
 #: probability of (1 - 0.8**6)**40, five in a million; at 0.85 it is less than one in 10**8.
 BANDS, ROWS = 40, 6
+#: A round of pivots is followed by another one if it confirms this share of its pairs.
+FRUITFUL = 0.05
 #: Places on the circle.  Collisions of places only blur the candidates, not the confirmation.
 PLACES = 1 << 20
 SEED = 20240501
@@ -159,12 +161,6 @@ def _node(one: str, two: str) -> Column:
     return F.struct(F.col(one).alias("k1"), F.col(two).alias("k2"))
 
 
-def _rooted(links: DataFrame) -> DataFrame:
-    """Component ``root`` of every linked node, by ``k1`` and ``k2``."""
-    edges = links.select(_node("a1", "a2").alias("a"), _node("b1", "b2").alias("b"))
-    return components(edges).select("node.k1", "node.k2", "root")
-
-
 def _flipped(pairs: DataFrame) -> DataFrame:
     return pairs.select(
         F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")
@@ -217,43 +213,55 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
     starred = written(starred, "minhash-stars")
     best = F.expr("row_number() OVER (PARTITION BY a1, a2 ORDER BY bands DESC, b1, b2)")
     pairs = written(starred.withColumn("place", best).filter("place = 1").select(*PAIR), "minhash-pairs")
-    tested, links = pairs, written(_confirmed(pairs, sets, percent), "minhash-links")
+    links = written(_confirmed(pairs, sets, percent), "minhash-links")
+    tested, found, tries = pairs, links, 0
     used = pivots.select("band", F.col("b1").alias("k1"), F.col("b2").alias("k2"))
     alone, number = _node("k1", "k2"), 0
+    roots = nodes.select("k1", "k2", alone.alias("root"))
     while True:
-        roots = written(_rooted(links), "minhash-roots")
-        placed = members.select("band", "k1", "k2", "n").join(roots, ["k1", "k2"], "left")
-        placed = placed.withColumn("root", F.coalesce("root", alone))
+        roots = written(_joined(roots, found), "minhash-roots")
+        placed = members.select("band", "k1", "k2", "n").join(roots, ["k1", "k2"])
         sizes = placed.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band")
         sizes = sizes.agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("inside"))
-        placed = placed.join(sizes.filter("all * all > inside").select("band"), "band", "left_semi")
-        placed = written(placed, "minhash-open")
-        open_pairs = F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2)
-        left = sizes.filter("all * all > inside").agg(
-            F.coalesce(open_pairs, F.lit(0)).alias("pairs"),
+        sizes = written(sizes.filter("all * all > inside"), "minhash-bands")
+        left = sizes.agg(
+            F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.lit(0)).alias("pairs"),
             F.coalesce(F.sum("all"), F.lit(0)).alias("members"),
         ).first()
         if not left["pairs"]:
             break
-        last = left["pairs"] <= left["members"] or (number > 1 and not found)
+        placed = placed.join(sizes.select("band"), "band", "left_semi")
+        fruitful = number < 2 or found.count() >= FRUITFUL * tries
+        last = number > 0 and (left["pairs"] <= left["members"] or not fruitful)
         if number == 0:
             pairs = _apart(starred.select(*PAIR), roots)
         elif last:
+            placed = written(placed, "minhash-open")
             pairs = _meeting(placed, placed, sized, ordered=True)
         else:
+            placed = written(placed, "minhash-open")
             chosen = _hubs(placed, tested, links, used, number)
-            used = written(used.unionByName(chosen.select("band", "k1", "k2")), "minhash-used")
+            used = used.unionByName(chosen.select("band", "k1", "k2"))
             pairs = _meeting(placed, chosen, sized, ordered=False)
         known = tested.unionByName(_flipped(tested))
         pairs = written(pairs.join(known, PAIR, "left_anti"), "minhash-pairs")
-        confirmed = written(_confirmed(pairs, sets, percent), "minhash-links")
-        found = confirmed.count()
-        tested, links = tested.unionByName(pairs), links.unionByName(confirmed)
-        if number and last:
+        found, tries = written(_confirmed(pairs, sets, percent), "minhash-links"), pairs.count()
+        tested, links = tested.unionByName(pairs), links.unionByName(found)
+        if last:
+            roots = _joined(roots, found)
             break
         number += 1
-    roots = nodes.join(_rooted(links), ["k1", "k2"], "left")
-    return roots.select("k1", "k2", "row", F.coalesce("root", alone).alias("root"))
+    return nodes.select("k1", "k2", "row").join(roots, ["k1", "k2"])
+
+
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """``roots`` after ``found`` links: only the roots that they connect are contracted anew."""
+    left = roots.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("root").alias("a"))
+    right = roots.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("root").alias("b"))
+    edges = found.join(left, ["a1", "a2"]).join(right, ["b1", "b2"]).select("a", "b")
+    merged = components(edges).select(F.col("node").alias("root"), F.col("root").alias("new"))
+    renamed = roots.join(merged, "root", "left")
+    return renamed.select("k1", "k2", F.coalesce("new", "root").alias("root"))
 
 
 def _meeting(placed: DataFrame, others: DataFrame, sized: Column, ordered: bool) -> DataFrame:

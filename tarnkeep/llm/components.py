@@ -30,7 +30,7 @@ def components(links: DataFrame) -> DataFrame:
         large = (
             both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         ).filter("a <> b")
-        large = written(large.distinct(), "links")
+        large = large.distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(

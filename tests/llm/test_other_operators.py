@@ -1,0 +1,293 @@
+"""Sharding, raking, line dedup, quality, tokens and neighbours on edge rows and against models."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from llm.models import PROSE, edge_rows, edge_table, sha
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tarnkeep.llm import attention, bpe_counts, hash_tree, line_spread, raking, vamana
+
+EMBEDDINGS = "vec_id long, embedding array<float>, label int"
+
+
+# Sharding
+
+
+def _shards(spark, leaves, n=4_000):
+    rows = hash_tree.place(spark.range(n), F.col("id"), leaves)
+    return {r["id"]: (r["region"], r["rack"], r["shard"]) for r in rows.collect()}
+
+
+def test_one_more_shard_takes_rows_only_into_itself(spark):
+    for n in (40, 41, 43):
+        before, after = (_shards(spark, hash_tree.layout(m)) for m in (n, n + 1))
+        moved = [i for i in before if before[i] != after[i]]
+        assert moved and all(after[i][2] == n for i in moved)
+
+
+def test_movement_stays_in_the_changed_subtree(spark):
+    tree = hash_tree.layout(40)
+    changed = [leaf._replace(weight=3.0) if leaf.shard == 12 else leaf for leaf in tree]
+    before, after = _shards(spark, tree), _shards(spark, changed)
+    region, rack = next((leaf.region, leaf.rack) for leaf in tree if leaf.shard == 12)
+    for i in before:
+        if before[i] != after[i]:
+            # Other regions only give rows away; in the region only the changed rack gains any.
+            assert after[i][0] == region
+            if before[i][0] == region:
+                assert after[i][1] == rack
+            if before[i][1] == rack:
+                assert after[i][2] == 12
+    assert sum(s[2] == 12 for s in after.values()) > 2 * sum(s[2] == 12 for s in before.values())
+
+
+def test_weights_decide_shares_and_zero_takes_nothing(spark):
+    tree = [hash_tree.Leaf(0, 0, 0, 1.0), hash_tree.Leaf(0, 1, 1, 3.0), hash_tree.Leaf(1, 2, 2, 0.0)]
+    counts = Counter(s[2] for s in _shards(spark, tree, 8_000).values())
+    assert set(counts) == {0, 1} and abs(counts[1] / 8_000 - 0.75) < 0.02
+    with pytest.raises(ValueError):
+        hash_tree.place(spark.range(1), F.col("id"), [hash_tree.Leaf(0, 0, 0, 0.0)])
+
+
+def test_shards_of_edge_rows(spark):
+    rows = hash_tree.op6(edge_table(spark)).collect()
+    assert len(rows) == len(edge_rows())
+    texts = {}
+    for i, text, *_ in edge_rows():
+        texts.setdefault(i, []).append((text or "").encode())
+    for r in rows:
+        assert any(
+            (r["size"], r.text_crc32) == (len(t) + 16, zlib.crc32(t)) for t in texts[r.doc_id]
+        )
+        assert r.grown_shard in (r.shard, 40) and r.law == "key"
+    assert len({(r.doc_id, r.shard) for r in rows}) == len({r.doc_id for r in rows})
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    kept = hash_tree.sharded(edge_table(spark))
+    assert kept.count() == len(edge_rows()) and kept.select("shard").dtypes[0][1] == "int"
+    assert hash_tree.sharded(edge_table(spark, [])).count() == 0
+
+
+# Raking
+
+
+def test_raked_margins_meet_their_targets(spark):
+    pick = random.Random(1)
+    cells = [(s, g, t, pick.randint(1, 999)) for s in "abc" for g in ("en", "de", "xx") for t in ("prose", "short")]
+    frame = raking.targeted(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long"))
+    rows = raking.raked(frame, 12).collect()
+    for name in raking.DIMENSIONS:
+        targets = {r[name]: r[f"target_{name}"] for r in rows}
+        assert abs(sum(targets.values()) - 1) < 1e-9
+        for value, target in targets.items():
+            assert abs(sum(r["weight"] for r in rows if r[name] == value) - target) < 1e-6
+    languages = {r["lang"]: r["target_lang"] for r in rows}
+    total = sum(c[3] for c in cells)
+    assert abs(languages["xx"] - sum(c[3] for c in cells if c[1] == "xx") / total) < 1e-9
+    assert abs(languages["en"] / languages["de"] - 2.5) < 1e-9
+
+
+def test_mix_of_edge_rows(spark):
+    rows = raking.mixed(edge_table(spark)).collect()
+    assert len(rows) == len(edge_rows())
+    assert all(0 <= r["__probability"] <= 1 for r in rows)
+    assert all(r["__sampled"] for r in rows if r["__probability"] == 1)
+    assert raking.sampled(edge_table(spark)).columns == edge_table(spark).columns
+    assert raking.sampled(edge_table(spark, [])).count() == 0
+
+
+def test_sampled_tokens_follow_the_probabilities(spark):
+    rows = [(i, "w " * 200, "en" if i % 4 else "de", "s") for i in range(4_000)]
+    frame = raking.mixed(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    for r in frame.groupBy("lang", "__probability").agg(F.avg(F.col("__sampled").cast("int")).alias("p")).collect():
+        assert abs(r["p"] - r["__probability"]) < 0.05
+
+
+# Lines
+
+
+def test_lines_of_enough_sites_go(spark):
+    rows = [
+        (i, f"own {i}\n  shared by five \nshared by four{'' if i < 4 else ' not'}\n\nend {i}", f"s{i}")
+        for i in range(5)
+    ]
+    rows += [(5, "shared by five", None), (6, None, "s1"), (7, "", "s2"), (8, "x\nx\nx", "s1"), (8, "x\nx\nx", "s1")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = line_spread.cleaned(frame).orderBy("doc_id").collect()
+    assert [(r.n_lines, r.n_removed) for r in got] == [(5, 1)] * 5 + [(1, 1), (0, 0), (1, 0), (3, 0), (3, 0)]
+    assert got[0].text == "own 0\nshared by four\n\nend 0"
+    assert got[5].text == "" and got[6].text is None and got[8].text == "x\nx\nx"
+
+
+def test_estimates_far_and_near_agree_with_counts(spark):
+    rows = [(n * 1_000 + i, f"line {n}", f"site {i}") for n in (2, 45, 50, 55, 300) for i in range(n)]
+    lines = spark.createDataFrame(rows, "doc_id long, line string, site string")
+    lines = lines.select(*line_spread._hashes(F.col("line")), "site", "line")
+    found = line_spread.boilerplate(lines.select("h1", "h2", "site"), 50)
+    names = lines.select("h1", "h2", "line").distinct().join(found, ["h1", "h2"]).collect()
+    assert sorted(r.line for r in names) == ["line 300", "line 50", "line 55"]
+
+
+def test_lines_of_edge_rows(spark):
+    frame = line_spread.cleaned(edge_table(spark))
+    assert frame.count() == len(edge_rows())
+    assert line_spread.cleaned(edge_table(spark, [])).count() == 0
+
+
+# Quality
+
+
+def _corpus(n=400):
+    pick = random.Random(2)
+    good = [f"word{i}" for i in range(80)]
+    rows, labels = [], []
+    for i in range(n):
+        bad = i % 4 == 0
+        words = pick.choices(good, k=pick.randint(20, 400))
+        if bad:  # one bad passage among good ones
+            at = pick.randrange(len(words))
+            words[at:at] = ["$$$!!"] * 60
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0 if bad else 1, 0))
+    return rows, labels
+
+
+def test_one_bad_passage_is_found_in_held_out_documents(spark):
+    rows, labels = _corpus()
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    truth = {i: q for i, q, _ in labels}
+    scored = [r for r in attention.op4(frame, known).collect() if r.held_out]
+    assert len(scored) > 50
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in scored)
+    assert sum(r.predicted == truth[r.doc_id] for r in scored) / len(scored) > 0.9
+
+
+def test_held_out_labels_change_nothing(spark):
+    rows, labels = _corpus(120)
+    flipped = [(i, 1 - q if zlib.crc32(str(i).encode()) % 5 == 0 else q, t) for i, q, t in labels]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    kind = "doc_id long, quality int, toxic int"
+    one, two = (
+        {r.doc_id: r.score for r in attention.op4(frame, spark.createDataFrame(x, kind)).collect()}
+        for x in (labels, flipped)
+    )
+    assert one == two
+
+
+def test_gradients_are_those_of_the_loss():
+    random_state = np.random.default_rng(5)
+    counts = np.array([1, 3, 2])
+    x = random_state.normal(size=(6, attention.WIDTH))
+    labels = np.array([1.0, 0.0, 1.0])
+    model = attention.trained(np.zeros((0, attention.WIDTH)), np.zeros(0, dtype=int), np.zeros(0))
+
+    def loss(m):
+        p, _ = attention._forward(m, x, counts)
+        return -(labels * np.log(p) + (1 - labels) * np.log(1 - p)).mean()
+
+    gradient = attention._gradient(model, x, counts, labels)
+    for name in model._fields:
+        weights = getattr(model, name)
+        at = tuple(random_state.integers(0, s) for s in weights.shape)
+        step = np.zeros_like(weights)
+        step[at] = 1e-5
+        up, down = (loss(model._replace(**{name: weights + s})) for s in (step, -step))
+        assert abs((up - down) / 2e-5 - getattr(gradient, name)[at]) < 1e-6
+
+
+def test_scores_of_edge_rows(spark):
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 13)], "doc_id long, quality int, toxic int")
+    rows = attention.op4(edge_table(spark), labels).collect()
+    assert len(rows) == len(edge_rows()) and all(0 <= r.score <= 1 for r in rows)
+    model = attention.fitted(edge_table(spark), labels.limit(0))
+    scored = attention.scored(edge_table(spark), model)
+    assert scored.count() == len(edge_rows())
+    by_text = {}
+    for r in scored.collect():
+        by_text.setdefault(r.text or "", set()).add(round(r.score, 9))
+    assert all(len(s) == 1 for s in by_text.values())
+    kept = attention.accepted(edge_table(spark), labels)
+    assert kept.columns == edge_table(spark).columns
+    assert attention.accepted(edge_table(spark, []), labels).count() == 0
+
+
+# Tokens
+
+
+def test_counts_equal_the_library(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    pick = random.Random(6)
+    bits = ["a", "aa", "b", " ", "\n", "é", "1", "'s", "<|endoftext|>", "​", "\t", "ß", "日", "\x1c", "!"]
+    texts = [t for _, t, *_ in edge_rows()] + ["a" * 5_000, "ab" * 2_000, "<|endoftext|>" * 3, "\n" * 600]
+    texts += ["".join(pick.choices(bits, k=pick.randint(1, 150))) for _ in range(300)]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: tuple(r)[1:] for r in bpe_counts.token_counts(frame, path).collect()}
+    for i, text in rows:
+        n = len(library.encode(text or "", add_special_tokens=False).ids)
+        assert got[i] == (len((text or "").encode()), n, n > 512)
+    assert bpe_counts.token_counts(edge_table(spark, []), path).count() == 0
+
+
+def test_counts_survive_a_full_memory(monkeypatch):
+    monkeypatch.setattr(bpe_counts, "REMEMBERED", 2)
+    counter = bpe_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [PROSE, PROSE[::-1], "x" * 200 + " one two", PROSE]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for text in [*texts, *texts]:
+        assert counter.counts([text]) == [len(library.encode(text).ids)]
+
+
+# Neighbours
+
+
+def _exact(points, queries, k):
+    found = []
+    for query, vector in queries:
+        far = sorted(
+            (float(np.sqrt(((np.array(v) - np.array(vector)) ** 2).sum())), i)
+            for i, v in points
+            if i != query and len(v) == len(vector)
+        )[:k]
+        found.extend((query, rank, i, d) for rank, (d, i) in enumerate(far, 1))
+    return found
+
+
+def test_few_vectors_are_searched_exactly(spark):
+    generator = np.random.default_rng(3)
+    points = [(i, generator.normal(size=8).astype(np.float32).tolist()) for i in range(40)]
+    points += [(100 + i, points[0][1]) for i in range(30)]  # a hot vector
+    odd = [(200, None), (201, [0.0] * 8), (202, [float("nan")] * 8), (203, [None] * 8), (204, []), (None, points[1][1])]
+    other = [(300, [1.0, 2.0]), (301, [1.0, 2.5])]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in [*points, *odd, *other]], EMBEDDINGS)
+    got = sorted(tuple(r) for r in vamana.op7(frame).collect())
+    valid = [*points, *other]
+    expected = sorted(_exact(valid, [(i, v) for i, v in valid if i % 100 == 0], 10))
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    assert np.allclose([g[3] for g in got], [e[3] for e in expected], rtol=0, atol=1e-12)
+    assert vamana.op7(spark.createDataFrame([], EMBEDDINGS)).count() == 0
+    assert vamana.op7(spark.createDataFrame([(0, [1.0], 0)], EMBEDDINGS)).count() == 0
+
+
+def test_recall_over_several_shards(spark):
+    generator = np.random.default_rng(9)
+    points = [(i, generator.normal(size=24).astype(np.float32).tolist()) for i in range(3_000)]
+    frame = spark.createDataFrame([(i, v, 0) for i, v in points], EMBEDDINGS)
+    rows = vamana.nearest(frame, frame.filter("vec_id % 100 = 0"), shard_rows=1_000).collect()
+    expected = _exact(points, points[::100], 10)
+    hits = {(r.query_id, r.vec_id) for r in rows} & {(q, i) for q, _, i, _ in expected}
+    assert len(hits) / len(expected) >= 0.9
+
+
+def test_digest_of_nothing_is_stable():
+    assert sha("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"

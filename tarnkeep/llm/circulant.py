@@ -6,12 +6,13 @@ circle has been turned by ``k`` places, so one table and its shifts replace a pe
 coordinate.  Bands of coordinates give candidates, and every candidate is confirmed on the full
 shingle sets: ``100 * intersection >= percent * union``.
 
-Work on candidates never makes all pairs of a group.  Documents with equal sets are one node.  A
-node first meets the pivot it shares most bands with, then all pivots of its bands, then in
-rounds new pivots: those whose pairs were confirmed most often, like the original of many edited
-copies.  Pairs within a component, whose links could not change the components, are not looked at.
-Rounds go on while they find links and more pairs are open than the groups have members; all
-pairs that are open then are confirmed or refuted, so no candidate is lost.
+Documents with equal sets are one node.  A node first meets the pivots of its bands; in each band that
+is the node with the least hash, so that most bands of a group have the same one.  Rounds of other
+pivots follow, those whose pairs were confirmed most often, like the original of many edited copies,
+while they find enough links.  Pairs within a component, whose links could not change the
+components, are not looked at.  The pairs that are open in the end are all confirmed or refuted: for
+most a pivot is enough, since Jaccard distances obey the triangle inequality, and two sets whose
+distances to it differ by more than the allowed distance are refuted by that.
 """
 
 from __future__ import annotations
@@ -147,14 +148,19 @@ def _full_sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     return found.dropDuplicates(["k1", "k2"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with the sizes of the ``common`` part and of the ``union`` of their full sets."""
     a = sets.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("members").alias("am"))
     b = sets.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("members").alias("bm"))
     both = pairs.join(a, ["a1", "a2"]).join(b, ["b1", "b2"])
-    common = F.size(F.array_intersect("am", "bm"))
-    union = F.size("am") + F.size("bm") - common
-    return both.filter(common * 100 >= union * percent).select("a1", "a2", "b1", "b2")
+    both = both.withColumn("common", F.size(F.array_intersect("am", "bm")))
+    union = F.size("am") + F.size("bm") - F.col("common")
+    return both.select(*pairs.columns, "common", union.alias("union"))
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    return _measured(pairs, sets).filter(F.col("common") * 100 >= F.col("union") * percent).select(*PAIR)
 
 
 def _node(one: str, two: str) -> Column:
@@ -192,58 +198,62 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
     )
     nodes = written(nodes, "minhash-nodes")
     banded = nodes.select("k1", "k2", "n", F.explode("bands").alias("band"))
-    banded = banded.withColumn("draw", F.xxhash64("band", "k1", "k2"))
+    banded = banded.withColumn("draw", F.xxhash64("k1", "k2"))
     shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("draw").alias("pivot"))
-    members = written(
-        banded.join(shared.filter("c > 1").drop("c"), "band"), "minhash-members"
-    )
+    members = written(banded.join(shared.filter("c > 1").drop("c"), "band"), "minhash-members")
     involved = members.select("k1", "k2").distinct()
-    sets = written(
-        _full_sets(rows, nodes.join(involved, ["k1", "k2"]), words), "minhash-sets"
-    )
+    sets = written(_full_sets(rows, nodes.join(involved, ["k1", "k2"]), words), "minhash-sets")
 
     other = [F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("n").alias("bn")]
     # Sets of too unequal size cannot be similar enough.
     sized = F.least("n", "bn") * 100 >= F.greatest("n", "bn") * percent
     named = [F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2"]
-
-    pivots = members.filter("draw = pivot").select("band", *other)
-    starred = members.filter("draw <> pivot").join(pivots, "band").filter(sized).select(*named)
-    starred = starred.groupBy(*PAIR).agg(F.count("*").alias("bands"))
+    pivots = members.filter("draw = pivot").select("band", "pivot", *other)
+    starred = members.filter("draw <> pivot").join(pivots, ["band", "pivot"]).filter(sized)
+    starred = starred.groupBy(*named).agg(F.min("pivot").alias("pivot"))
     starred = written(starred, "minhash-stars")
-    best = F.expr("row_number() OVER (PARTITION BY a1, a2 ORDER BY bands DESC, b1, b2)")
+    best = F.expr("row_number() OVER (PARTITION BY a1, a2 ORDER BY pivot, b1, b2)")
     pairs = written(starred.withColumn("place", best).filter("place = 1").select(*PAIR), "minhash-pairs")
     links = written(_confirmed(pairs, sets, percent), "minhash-links")
     tested, found, tries = pairs, links, 0
-    used = pivots.select("band", F.col("b1").alias("k1"), F.col("b2").alias("k2"))
+    used = pivots.select(F.col("b1").alias("k1"), F.col("b2").alias("k2"), "band")
     alone, number = _node("k1", "k2"), 0
     roots = nodes.select("k1", "k2", alone.alias("root"))
     while True:
         roots = written(_joined(roots, found), "minhash-roots")
         placed = members.select("band", "k1", "k2", "n").join(roots, ["k1", "k2"])
-        sizes = placed.groupBy("band", "root").agg(F.count("*").alias("c")).groupBy("band")
-        sizes = sizes.agg(F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("inside"))
-        sizes = written(sizes.filter("all * all > inside"), "minhash-bands")
+        counts = placed.groupBy("band", "root").agg(F.count("*").alias("c"))
+        # In each band the largest component is ``main``; its members need no pairs with each other.
+        sizes = counts.groupBy("band").agg(
+            F.sum("c").alias("all"),
+            F.sum(F.col("c") * F.col("c")).alias("inside"),
+            F.max(F.struct("c", "root")).alias("largest"),
+        )
+        sizes = sizes.filter("all * all > inside")
+        sizes = written(sizes.select("band", "all", "inside", F.col("largest.root").alias("main")), "minhash-bands")
         left = sizes.agg(
             F.coalesce(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.lit(0)).alias("pairs"),
             F.coalesce(F.sum("all"), F.lit(0)).alias("members"),
         ).first()
         if not left["pairs"]:
             break
-        placed = placed.join(sizes.select("band"), "band", "left_semi")
         fruitful = number < 2 or found.count() >= FRUITFUL * tries
         last = number > 0 and (left["pairs"] <= left["members"] or not fruitful)
+        known = tested.unionByName(_flipped(tested))
         if number == 0:
             pairs = _apart(starred.select(*PAIR), roots)
-        elif last:
-            placed = written(placed, "minhash-open")
-            pairs = _meeting(placed, placed, sized, ordered=True)
         else:
-            placed = written(placed, "minhash-open")
-            chosen = _hubs(placed, tested, links, used, number)
-            used = used.unionByName(chosen.select("band", "k1", "k2"))
-            pairs = _meeting(placed, chosen, sized, ordered=False)
-        known = tested.unionByName(_flipped(tested))
+            placed = written(placed.join(sizes.select("band", "main"), "band"), "minhash-open")
+            # Anchors may be hubs of earlier rounds, new pivots may not.
+            hubs = _hubs(placed, tested, links, used.limit(0) if last else used)
+            right = hubs.select("band", *other, F.col("root").alias("rb"), "rate")
+            near = placed.join(right, "band").filter((F.col("k1") != F.col("b1")) | (F.col("k2") != F.col("b2")))
+            if last:
+                anchors = written(_anchored(near.select(*named, "rate"), hubs, sets), "minhash-anchors")
+                pairs = _open_pairs(placed, nodes, anchors, other, sized, percent).select(*named)
+            else:
+                used = used.unionByName(hubs.select("k1", "k2", "band"))
+                pairs = near.filter(sized & (F.col("root") != F.col("rb"))).select(*named).distinct()
         pairs = written(pairs.join(known, PAIR, "left_anti"), "minhash-pairs")
         found, tries = written(_confirmed(pairs, sets, percent), "minhash-links"), pairs.count()
         tested, links = tested.unionByName(pairs), links.unionByName(found)
@@ -254,6 +264,59 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
     return nodes.select("k1", "k2", "row").join(roots, ["k1", "k2"])
 
 
+def _anchored(near: DataFrame, hubs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For nodes of open bands the hub with the highest rate, and the distance to it.
+
+    Hubs are their own anchors.
+    """
+    best = near.groupBy("a1", "a2").agg(F.max(F.struct("rate", "b1", "b2")).alias("hub"))
+    pairs = best.select("a1", "a2", "hub.b1", "hub.b2")
+    measured = _measured(pairs, sets).select(
+        F.col("a1").alias("k1"),
+        F.col("a2").alias("k2"),
+        _node("b1", "b2").alias("anchor"),
+        (1 - F.col("common") / F.col("union")).alias("far"),
+    )
+    own = hubs.select("k1", "k2", _node("k1", "k2").alias("anchor"), F.lit(0.0).alias("far")).distinct()
+    # A node may be a hub and have a hub of a higher rate; the latter serves.
+    return measured.unionByName(own.join(measured, ["k1", "k2"], "left_anti"))
+
+
+def _open_pairs(
+    placed: DataFrame, nodes: DataFrame, anchors: DataFrame, other: list[Column], sized: Column, percent: int
+) -> DataFrame:
+    """Each pair of nodes of different components that share a band and that no anchor refutes, once."""
+    rows = placed.join(nodes.select("k1", "k2", "bands"), ["k1", "k2"])
+    rows = written(rows.join(anchors, ["k1", "k2"], "left"), "minhash-rest")
+    right = rows.select(
+        "band",
+        *other,
+        F.col("root").alias("rb"),
+        F.col("bands").alias("bb"),
+        F.col("anchor").alias("ab"),
+        F.col("far").alias("fb"),
+    )
+    ordered = (F.col("k1") < F.col("b1")) | ((F.col("k1") == F.col("b1")) & (F.col("k2") < F.col("b2")))
+    allowed = 1 - percent / 100 + 1e-9
+    refuted = F.coalesce(
+        (F.col("anchor") == F.col("ab")) & (F.abs(F.col("far") - F.col("fb")) > allowed), F.lit(False)
+    )
+    first = F.element_at(F.array_intersect("bands", "bb"), 1) == F.col("r.band")
+    return (
+        rows.filter(F.col("root") != F.col("main"))
+        .alias("l")
+        .join(
+            right.alias("r"),
+            (F.col("l.band") == F.col("r.band"))
+            & (F.col("root") != F.col("rb"))
+            & ((F.col("rb") == F.col("main")) | ordered)
+            & sized
+            & ~refuted
+            & first,
+        )
+    )
+
+
 def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
     """``roots`` after ``found`` links: only the roots that they connect are contracted anew."""
     left = roots.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("root").alias("a"))
@@ -264,40 +327,21 @@ def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
     return renamed.select("k1", "k2", F.coalesce("new", "root").alias("root"))
 
 
-def _meeting(placed: DataFrame, others: DataFrame, sized: Column, ordered: bool) -> DataFrame:
-    """Pairs of a band that are in different components, without repeats."""
-    right = others.select(
-        "band",
-        F.col("k1").alias("b1"),
-        F.col("k2").alias("b2"),
-        F.col("n").alias("bn"),
-        F.col("root").alias("rb"),
-    )
-    pairs = placed.join(right, "band").filter(sized & (F.col("root") != F.col("rb")))
-    if ordered:
-        pairs = pairs.filter("k1 < b1 OR (k1 = b1 AND k2 < b2)")
-    return pairs.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "b1", "b2").distinct()
-
-
-def _hubs(
-    placed: DataFrame, tested: DataFrame, links: DataFrame, used: DataFrame, number: int
-) -> DataFrame:
+def _hubs(placed: DataFrame, tested: DataFrame, links: DataFrame, used: DataFrame) -> DataFrame:
     """Of each band the node, not a pivot there before, whose pairs were confirmed most often."""
 
     def ends(pairs: DataFrame, name: str) -> DataFrame:
         both = pairs.unionByName(_flipped(pairs))
-        return both.groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2")).agg(
-            F.count("*").alias(name)
-        )
+        return both.groupBy(F.col("a1").alias("k1"), F.col("a2").alias("k2")).agg(F.count("*").alias(name))
 
     rates = ends(tested, "tests").join(ends(links, "hits"), ["k1", "k2"], "left")
     rate = (F.coalesce("hits", F.lit(0)) + 1) / (F.coalesce("tests", F.lit(0)) + 2)
     rated = placed.join(used, ["band", "k1", "k2"], "left_anti").join(rates, ["k1", "k2"], "left")
-    order = F.struct(
-        rate.alias("rate"), F.xxhash64(F.lit(number), "band", "k1", "k2").alias("draw"), "k1", "k2", "n", "root"
-    )
+    order = F.struct(rate.alias("rate"), F.xxhash64("k1", "k2").alias("draw"), "k1", "k2", "n", "root")
     chosen = rated.groupBy("band").agg(F.max(order).alias("best"))
-    return written(chosen.select("band", "best.k1", "best.k2", "best.n", "best.root"), "minhash-hubs")
+    return written(
+        chosen.select("band", "best.rate", "best.k1", "best.k2", "best.n", "best.root"), "minhash-hubs"
+    )
 
 
 def near_duplicates(

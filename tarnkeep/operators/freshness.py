@@ -56,12 +56,13 @@ def table_ages(
 
     ``tables`` has ``item_id``, ``table_path`` and the ``keys`` that tie it to ``files``.  Files
     are reduced per table first, so the join meets at most one row per table on either side.
+    A row of ``tables`` with an ``error`` and no path stays, as what could not be listed.
     """
     inventory = tables.filter(F.col("table_path").isNotNull()).select(
         *dict.fromkeys(["item_id", "table_path", *keys])
     )
     age = F.col("age")
-    return (
+    dated = (
         inventory.join(latest_log_file(files, keys), list(keys), "left")
         .withColumn("age", age_hours(F.col("latest_ts"), now))
         .select(
@@ -75,12 +76,18 @@ def table_ages(
             F.substring("error", 1, ERROR_LENGTH).alias("error"),
         )
     )
+    if "error" not in tables.columns:
+        return dated
+    failed = tables.filter(F.col("table_path").isNull() & F.col("error").isNotNull()).select(
+        "item_id", F.substring("error", 1, ERROR_LENGTH).alias("error"), F.lit(False).alias("is_stale")
+    )
+    return dated.unionByName(failed, allowMissingColumns=True)
 
 
 def freshness_detail(
     targets: DataFrame, ages: DataFrame, run_ts: Column, threshold_hours: float
 ) -> DataFrame:
-    """Detail log rows: one per table of every target."""
+    """Detail log rows: one per table of every target, and one without path per failed listing."""
     named = targets.select("item_id", "workspace_name", "item_name")
     return ages.join(named, "item_id").select(
         run_ts.alias("RunTs"),
@@ -106,7 +113,7 @@ def freshness_summary(
     """
     has_log = F.col("latest_ts").isNotNull()
     per_item = ages.groupBy("item_id").agg(
-        F.count(F.lit(1)).alias("total"),
+        F.count("table_path").alias("total"),
         F.count("latest_ts").alias("logged"),
         F.count_if(has_log & F.col("is_stale")).alias("stale"),
         F.max("latest_ts").alias("newest"),
@@ -145,7 +152,7 @@ def table_lines(ages: DataFrame) -> DataFrame:
     line = F.concat(
         F.when(F.col("is_stale"), "🔴").otherwise("🟢"),
         F.lit("  "),
-        pad_to(F.col("table_path"), 60),
+        pad_to(F.coalesce("table_path", F.lit("(not listed)")), 60),
         F.lit("  "),
         state,
     )

@@ -38,19 +38,16 @@ def row_loss_guard(counts: DataFrame, max_loss_pct: float = MAX_LOSS_PCT) -> Dat
 def key_profile(source: DataFrame, key: str) -> DataFrame:
     """One row about the merge key, from the key column alone.
 
-    ``source_rows``; ``distinct_keys`` and ``key_bytes`` (without null); ``null_keys``;
-    ``max_copies`` of any one key.  Copies are counted per task before the shuffle, so a key
+    ``source_rows``; ``distinct_keys`` (without null); ``null_keys``; ``max_copies`` of any one key.  Copies are counted per task before the shuffle, so a key
     that fills a large part of the source costs no more than any other.
     """
     per_key = source.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
     known = F.col(key).isNotNull()
-    text_bytes = F.octet_length(F.col(key).cast("string")).cast("long")
     return per_key.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("source_rows"),
         F.count(key).alias("distinct_keys"),
         F.coalesce(F.sum(F.when(~known, F.col("copies"))), F.lit(0)).alias("null_keys"),
         F.coalesce(F.max(F.when(known, F.col("copies"))), F.lit(0)).alias("max_copies"),
-        F.coalesce(F.sum(F.when(known, text_bytes)), F.lit(0)).alias("key_bytes"),
     )
 
 

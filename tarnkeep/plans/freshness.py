@@ -40,11 +40,16 @@ def freshness(
 ) -> tuple[DataFrame, DataFrame]:
     """Detail and summary rows of one run at the UTC time ``now`` (by default right now).
 
-    ``tables`` and ``files`` may cover more items than the targets.  With ``keep`` the table
+    ``tables`` and ``files`` may cover more items than the targets; what belongs to other items is
+    left out before anything is dated.  With ``keep`` the table
     ages are computed once, in the shared folder, and both results read them from there; set
     it when both will be used.
     """
     run_ts = ntz(now)
+    wanted = targets.select("item_id").distinct()
+    tables = tables.join(wanted, "item_id", "left_semi")
+    if "item_id" in keys:
+        files = files.join(wanted, "item_id", "left_semi")
     ages = table_ages(tables, files, run_ts, keys, threshold_hours)
     if keep:
         ages, _ = kept(ages, "table-ages")

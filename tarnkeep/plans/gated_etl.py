@@ -55,6 +55,11 @@ def gated_etl(
     except SchemaMissing:
         registry.bootstrap(incoming, schema_name, table_name)
     check_schema(incoming, approved, mode)
+    target.recover(registry.spark)
+    present = target.read(registry.spark)
+    if present is not None:
+        # A folder would take rows of other types and become unreadable.
+        check_schema(present, approved)
     typed = cast_to(incoming, approved)
     target.append(typed)
     return typed

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
@@ -14,13 +14,6 @@ from tarnkeep.operators.merge import conform, last_per_key, merge_rows
 from tarnkeep.sinks.targets import PathTarget, TableTarget
 from tarnkeep.storage import Storage, kept
 
-# Source keys up to this much text and this many values are copied to every executor
-# instead of shuffling the target.
-BROADCAST_BYTES = 64 * 1024 * 1024
-BROADCAST_KEYS = 2_000_000
-# Up to this many partitions are named in the scan filter; beyond, the whole target is rewritten.
-LISTED_PARTITIONS = 1_000
-
 REPORT = (
     "strategy string, source_rows long, target_rows_before long, loss_pct double, "
     "target_rows_after long, required_rows long"
@@ -138,24 +131,21 @@ def _merge_stored(source, target, before, key, on_duplicate, order_by):
         target.merge(source, key)
         return keys.source_rows, None, required
 
-    small = keys.distinct_keys <= BROADCAST_KEYS and keys.key_bytes <= BROADCAST_BYTES
     partition_by = target.partition_by if isinstance(target, PathTarget) else ()
-    matches = _matches(source, before, key, partition_by, small)
+    matches = _matches(source, before, key, partition_by)
     if matches.here + matches.elsewhere == 0:
         target.append(source)
         return keys.source_rows, None, required
-    touched = None
     if partition_by and matches.elsewhere == 0:
-        touched = _partition_filter(source, partition_by)
-    if touched is not None:
-        target.replace_partitions(merge_rows(source, before.filter(touched), key, small))
+        touched = _same_partitions(before, source, partition_by)
+        target.replace_partitions(merge_rows(source, touched, key))
     else:
-        target.publish(spark, target.stage(merge_rows(source, before, key, small)))
+        target.publish(spark, target.stage(merge_rows(source, before, key)))
     return keys.source_rows, None, required
 
 
 def _matches(
-    source: DataFrame, before: DataFrame, key: str, partition_by: Sequence[str], small: bool
+    source: DataFrame, before: DataFrame, key: str, partition_by: Sequence[str]
 ) -> Row:
     """How many target rows match ``here``, in the partition of their source row, or
     ``elsewhere``.
@@ -166,23 +156,26 @@ def _matches(
     moved_to = {name: f"source_{name}" for name in partition_by}
     rows = source.select(key, *[F.col(name).alias(new) for name, new in moved_to.items()])
     same = reduce(and_, [F.equal_null(*names) for names in moved_to.items()], F.lit(True))
-    pairs = before.select(*dict.fromkeys([key, *partition_by])).join(
-        F.broadcast(rows) if small else rows, key
-    )
+    pairs = before.select(*dict.fromkeys([key, *partition_by])).join(rows, key)
     return pairs.agg(
         F.count_if(same).alias("here"), F.count_if(~same).alias("elsewhere")
     ).first()
 
 
-def _partition_filter(source: DataFrame, partition_by: Sequence[str]) -> Column | None:
-    """Filter for the partitions of the source; None if they are too many to be named."""
-    found = source.select(*partition_by).distinct().limit(LISTED_PARTITIONS + 1).collect()
-    if len(found) > LISTED_PARTITIONS:
-        return None
-    return reduce(
-        or_,
-        [
-            reduce(and_, [F.col(name).eqNullSafe(row[name]) for name in partition_by])
-            for row in found
-        ],
+def _same_partitions(
+    before: DataFrame, source: DataFrame, partition_by: Sequence[str]
+) -> DataFrame:
+    """The target rows in partitions that the source has rows for, however many these are.
+
+    A semi join on the partition columns, which Spark turns into a pruned scan; partitions with a
+    null, which equals nothing there, are compared in a branch of their own.
+    """
+    touched = source.select(*partition_by).distinct()
+    whole = reduce(and_, [F.col(name).isNotNull() for name in partition_by])
+    plain = before.join(touched.filter(whole), list(partition_by), "left_semi")
+    named = touched.filter(~whole).withColumnsRenamed({n: f"touched_{n}" for n in partition_by})
+    same = reduce(
+        and_, [F.equal_null(F.col(n), F.col(f"touched_{n}")) for n in partition_by]
     )
+    nulls = before.filter(~whole).join(named, same, "left_semi")
+    return plain.select(*before.columns).unionByName(nulls)

@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tarnkeep.functions.ages import ntz
 from tarnkeep.functions.names import ENDPOINT_NAME, ENDPOINT_TYPE
@@ -40,6 +41,10 @@ def sync_log(
     if dry_run:
         outcomes = dry_run_outcomes(targets)
     else:
+        # Replies and polls of other endpoints are left out before they are parsed.
+        wanted = targets.select(F.col("item_id").alias("endpoint_id")).distinct()
+        responses = responses.join(wanted, "endpoint_id", "left_semi")
+        polls = polls.join(wanted, "endpoint_id", "left_semi")
         outcomes = sync_outcomes(responses, sync_final_state(polls))
     return run_log_rows(targets, outcomes, ntz(run_ts), dry_run)
 

@@ -3,7 +3,9 @@
 Spark overwrites a folder by deleting it first, and cannot overwrite what the same plan reads.
 So new content goes to a staging name next to the target (the same storage), is counted there,
 and takes the target's place by rename.  Two renames are not one atomic step: a run that dies
-between them leaves the old data under the backup name, and ``recover`` puts it back.
+between them leaves the old data under the backup name, and ``recover`` puts it back.  Every
+write recovers first, and a backup is deleted only beside a folder that carries the mark of a
+finished swap.
 
 A format with its own transaction log overwrites and merges in one commit; for such targets
 (``transactional=True``) the staged content is written over the target instead, which keeps
@@ -12,17 +14,22 @@ its history.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tarnkeep.storage import Storage
 
 # Fixed value: rows per written file.
 RECORDS_PER_FILE = 500_000
+# Files of a target folder that Spark's readers do not see.
+SCHEMA_FILE = "_schema.json"
+SWAPPED_FILE = "_swapped"
 
 
 def _writer(
@@ -40,7 +47,11 @@ def _writer(
 
 @dataclass(frozen=True)
 class PathTarget:
-    """A folder of files, by default Parquet."""
+    """A folder of files, by default Parquet.
+
+    Partition columns have the types that were written, which are kept beside the data; in a
+    folder written by others they are text.  They are never guessed, so ``01`` stays ``01``.
+    """
 
     path: str
     format: str = "parquet"
@@ -51,10 +62,12 @@ class PathTarget:
         """Current rows, or None if there is no such folder; any other failure is raised."""
         if not Storage(spark).exists(self._base):
             return None
-        return spark.read.format(self.format).load(self.path)
+        return self._load(spark, self._base)
 
     def append(self, frame: DataFrame) -> int:
         """Add all rows and return how many they were."""
+        self.recover(frame.sparkSession)
+        self._keep_schema(frame, self._base)
         written = Observation()
         writer = _writer(frame, self.partition_by, written).format(self.format)
         writer.mode("append").save(self.path)
@@ -63,7 +76,8 @@ class PathTarget:
     def stage(self, frame: DataFrame) -> str:
         staged = f"{self._base}__staged_{uuid.uuid4().hex}"
         try:
-            _writer(frame, self.partition_by).format(self.format).save(staged)
+            self._keep_schema(frame, staged)
+            _writer(frame, self.partition_by).format(self.format).mode("append").save(staged)
         except Exception:
             files = Storage(frame.sparkSession)
             if files.exists(staged):
@@ -74,33 +88,66 @@ class PathTarget:
     def staged_rows(self, spark: SparkSession, staged: str) -> int:
         return spark.read.format(self.format).load(staged).count()
 
+    def _load(self, spark: SparkSession, path: str) -> DataFrame:
+        reader = spark.read.format(self.format)
+        if self.transactional or not self.partition_by:
+            return reader.load(path)
+        files, kept = Storage(spark), f"{path}/{SCHEMA_FILE}"
+        types = {}
+        if files.exists(kept):
+            types = {f.name: f.dataType for f in StructType.fromJson(json.loads(files.read_text(kept)))}
+        found = reader.load(path).schema
+        fields = [
+            StructField(field.name, types.get(field.name, StringType()))
+            if field.name in self.partition_by
+            else field
+            for field in found
+        ]
+        return spark.read.format(self.format).schema(StructType(fields)).load(path)
+
+    def _keep_schema(self, frame: DataFrame, path: str) -> None:
+        """Note the types of the partition columns; the first write decides."""
+        if self.transactional or not self.partition_by:
+            return
+        files, kept = Storage(frame.sparkSession), f"{path}/{SCHEMA_FILE}"
+        if not files.exists(kept) and not files.exists(path):
+            types = StructType([frame.schema[name] for name in self.partition_by])
+            files.write_text(kept, types.json())
+
     def publish(self, spark: SparkSession, staged: str) -> None:
         files = Storage(spark)
         if not files.exists(self._base):
             files.rename(staged, self._base)
         elif self.transactional:
-            content = spark.read.format(self.format).load(staged)
+            content = self._load(spark, staged)
             writer = _writer(content, self.partition_by).format(self.format)
             writer.mode("overwrite").save(self.path)
             files.delete(staged)
         else:
+            files.write_text(f"{staged}/{SWAPPED_FILE}", "")
             files.rename(self._base, self._backup)
             files.rename(staged, self._base)
             files.delete(self._backup)
+            files.delete(f"{self._base}/{SWAPPED_FILE}")
         spark.catalog.refreshByPath(self.path)
 
     def discard(self, spark: SparkSession, staged: str) -> None:
         Storage(spark).delete(staged)
 
     def recover(self, spark: SparkSession) -> None:
-        """Finish or undo a swap that was cut off."""
+        """Finish or undo a swap that was cut off; both folders without its mark are an error."""
         files = Storage(spark)
         if not files.exists(self._backup):
             return
-        if files.exists(self._base):
+        if not files.exists(self._base):
+            files.rename(self._backup, self._base)
+        elif files.exists(f"{self._base}/{SWAPPED_FILE}"):
             files.delete(self._backup)
+            files.delete(f"{self._base}/{SWAPPED_FILE}")
         else:
-            files.rename(self._backup, self._base)
+            raise RuntimeError(
+                f"{self._base} and {self._backup} both hold data that no swap put there: merge them by hand"
+            )
 
     def replace_partitions(self, frame: DataFrame) -> None:
         """Overwrite just the partitions that ``frame`` has rows for; it may read the target.
@@ -145,6 +192,7 @@ class TableTarget:
 
     def append(self, frame: DataFrame) -> int:
         """Add all rows and return how many they were."""
+        self.recover(frame.sparkSession)
         written = Observation()
         partition_by = self._partitions(frame.sparkSession)
         self._save(frame, self.name, "append", partition_by, written)

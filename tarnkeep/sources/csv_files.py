@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 # Separators that are tried.
@@ -10,10 +11,27 @@ SEPARATORS = [",", "|", ";", "\t"]
 
 
 def sniff_separator(spark: SparkSession, path: str) -> str:
-    """The candidate that occurs most often in the first line; a comma if none does."""
-    first = spark.read.text(path).limit(1).collect()
-    header = first[0].value if first else ""
-    return max(SEPARATORS, key=header.count)
+    """The candidate that every line has equally often, quoted parts aside; a comma if none occurs.
+
+    All lines are counted, blank ones aside.  If several candidates fit, or some occur but none
+    fits (line breaks in quotes, ragged lines), that is an error: name the separator then.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    bare = F.regexp_replace("value", '"[^"]*"', "")
+    counts = [F.length(bare) - F.length(F.replace(bare, F.lit(s), F.lit(""))) for s in SEPARATORS]
+    ends = lines.agg(
+        *[F.min(count).alias(f"least{i}") for i, count in enumerate(counts)],
+        *[F.max(count).alias(f"most{i}") for i, count in enumerate(counts)],
+    ).first()
+    occurring = [s for i, s in enumerate(SEPARATORS) if ends[f"most{i}"]]
+    fitting = [
+        s for i, s in enumerate(SEPARATORS) if ends[f"most{i}"] and ends[f"least{i}"] == ends[f"most{i}"]
+    ]
+    if not occurring:
+        return SEPARATORS[0]
+    if len(fitting) != 1:
+        raise ValueError(f"the separator of {path} cannot be told, it may be any of {fitting or occurring}")
+    return fitting[0]
 
 
 def typed_csv(
@@ -26,7 +44,7 @@ def typed_csv(
     """Header row, typed columns, empty fields (quoted or not) as null.
 
     Give a ``schema`` for anything large: without one Spark reads the files a second time to
-    infer it.  Inferred whole numbers become ``bigint``, so that a target made from one file
+    infer it, and without ``sep`` once more to find that.  Inferred whole numbers become ``bigint``, so that a target made from one file
     has room for the values of the next.  The header is checked against the schema and a
     value that does not fit its type fails the query rather than turning into null.
     ``multi_line`` is needed for line breaks inside quotes; such files cannot be split among
@@ -52,5 +70,5 @@ def typed_csv(
 
 
 def raw_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Names from the header, every column a string."""
-    return spark.read.option("header", True).csv(path)
+    """Names from the header, every column a string; files with other headers fail the query."""
+    return spark.read.option("header", True).option("enforceSchema", False).csv(path)

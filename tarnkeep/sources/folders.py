@@ -34,27 +34,46 @@ _ENTRY_TYPES = [pa.string(), pa.bool_(), pa.timestamp("us"), pa.string()]
 _ROWS_PER_BATCH = 10_000
 
 
-def _scanner() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scanner(
+    missing_is_error: bool = False,
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The task body.  Nested functions travel with the plan, so that executors need not have
     this package installed."""
 
     def entries(folder: str | None) -> Iterator[tuple]:
-        """(name, is directory, microseconds, error) per entry; nothing for a missing folder.
+        """(name, is directory, microseconds, error) per entry.
 
-        A null folder gives one empty entry, so that its row is carried along.
+        A null folder gives one empty entry, so that its row is carried along.  An entry that is
+        gone before it is looked at is left out, and only that one.
         """
         if folder is None:
             yield None, None, None, None
             return
         try:
-            with os.scandir(folder.removeprefix("file://").removeprefix("file:")) as found:
-                for entry in found:
-                    modified = entry.stat().st_mtime_ns // 1000
-                    yield entry.name, entry.is_dir(), modified, None
-        except FileNotFoundError:
+            found = os.scandir(folder.removeprefix("file://").removeprefix("file:"))
+        except FileNotFoundError as error:
+            if missing_is_error:
+                yield None, None, None, str(error)
             return
         except OSError as error:
             yield None, None, None, str(error)
+            return
+        with found:
+            while True:
+                try:
+                    entry = next(found, None)
+                    if entry is None:
+                        return
+                except OSError as error:
+                    yield None, None, None, str(error)
+                    return
+                try:
+                    modified = entry.stat().st_mtime_ns // 1000
+                    yield entry.name, entry.is_dir(), modified, None
+                except FileNotFoundError:
+                    continue
+                except OSError as error:
+                    yield None, None, None, str(error)
 
     def rows(batch: pa.RecordBatch, position: list, found: list) -> pa.RecordBatch:
         given = batch.take(pa.array(position, pa.int64())).columns
@@ -78,31 +97,34 @@ def _scanner() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
     return scan
 
 
-def list_entries(folders: DataFrame, tasks: int | None = None) -> DataFrame:
+def list_entries(
+    folders: DataFrame, tasks: int | None = None, missing_is_error: bool = False
+) -> DataFrame:
     """Direct entries of every ``folder``; the other columns of the row are carried along.
 
     The rows are spread over a fixed number of tasks (``spark.sql.shuffle.partitions`` by
     default): they are few bytes but much waiting, so they must not be merged by size.
-    A folder that cannot be read gives one row with ``error`` set and no name.
+    A folder that cannot be read gives one row with ``error`` set and no name; so does one that
+    does not exist, if ``missing_is_error``, and else it gives none.
     """
     count = tasks or int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = StructType(folders.schema.fields + _ENTRY_FIELDS.fields)
-    return folders.repartition(count, "folder").mapInArrow(_scanner(), schema)
+    return folders.repartition(count, "folder").mapInArrow(_scanner(missing_is_error), schema)
 
 
 def list_tables(items: DataFrame, tasks: int | None = None) -> DataFrame:
     """Directories exactly two levels under ``<item_root>/Tables``.
 
     ``items`` has ``item_id`` and ``item_root``.  Adds ``table_path``, ``folder`` and
-    ``error``; an unreadable folder gives a row with an error and no ``table_path``, beside
-    the tables that could be listed.
+    ``error``; an unreadable folder, or an item without one, gives a row with an error and no
+    ``table_path``, beside the tables that could be listed.
     """
     failed = F.col("error").isNotNull()
     below = F.when(~failed, F.concat_ws("/", "folder", "name"))
     roots = items.select(
         "item_id", F.concat("item_root", F.lit(f"/{TABLE_ROOT}")).alias("folder")
     )
-    schemas = list_entries(roots, tasks).filter(F.col("is_directory") | failed)
+    schemas = list_entries(roots, tasks, missing_is_error=True).filter(F.col("is_directory") | failed)
     tables = list_entries(
         schemas.select(
             "item_id",

@@ -41,7 +41,12 @@ class Storage:
             out.close()
 
     def read_text(self, path: str) -> str:
-        return self._spark.read.text(path, wholetext=True).first().value
+        system, name = self._open(path)
+        source = system.open(name)
+        try:
+            return self._spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        finally:
+            source.close()
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -42,10 +42,12 @@ def items(spark, tree, names):
 
 def test_listing(spark, tree):
     tables = list_tables(items(spark, tree, ["i1", "i2", "i3", "absent"]))
-    assert {(r.item_id, r.table_path, r.error) for r in tables.collect()} == {
-        ("i1", "Tables/dbo/a", None),
-        ("i1", "Tables/dbo/no_log", None),
-        ("i2", "Tables/s/b", None),
+    assert {(r.item_id, r.table_path, r.error is None) for r in tables.collect()} == {
+        ("i1", "Tables/dbo/a", True),
+        ("i1", "Tables/dbo/no_log", True),
+        ("i2", "Tables/s/b", True),
+        ("i3", None, False),
+        ("absent", None, False),
     }
     files = list_log_files(tables).collect()
     assert {(r.table_path, r.file_name, r.modified) for r in files} == {
@@ -94,3 +96,19 @@ def test_index_listing_sees_plain_files(spark, tree):
         datetime(1970, 1, 12, 13, 46, 40),
         datetime(1970, 1, 12, 13, 46, 41),
     }
+
+
+def test_a_vanished_entry_hides_no_other(spark, tmp_path):
+    folder = tmp_path / "item" / "Tables" / "s" / "t" / "_delta_log"
+    folder.mkdir(parents=True)
+    for i in range(30):
+        (folder / f"{i:03d}.json").write_text("x")
+    (folder / "015.gone").symlink_to(tmp_path / "nowhere")
+    items = spark.createDataFrame([("item", str(tmp_path / "item"))], "item_id string, item_root string")
+    assert list_log_files(list_tables(items)).count() == 30
+
+
+def test_a_missing_item_is_an_error_row(spark, tmp_path):
+    items = spark.createDataFrame([("a", str(tmp_path / "none"))], "item_id string, item_root string")
+    (row,) = list_tables(items).collect()
+    assert row.table_path is None and "No such file" in row.error

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tarnkeep.operators.drift import (
+    APPROVED_ENDING,
     approval_states,
     cast_to,
     rejected_rows,
@@ -212,10 +213,39 @@ def test_typed_csv_does_not_hide_problems(spark, tmp_path):
 def test_line_breaks_in_quotes(spark, tmp_path):
     path = tmp_path / "x.csv"
     path.write_text('id,note\n1,"two\nlines"\n')
-    row = typed_csv(spark, str(path), multi_line=True).first()
+    row = typed_csv(spark, str(path), sep=",", multi_line=True).first()
     assert (row.id, row.note) == (1, "two\nlines")
 
 
+def test_separators_are_told_from_all_lines(spark, tmp_path):
+    blank, quoted, unclear = (tmp_path / name for name in ("a.csv", "b.csv", "c.csv"))
+    blank.write_text("\nid;name\n1;x\n")
+    quoted.write_text('"a,b,c";d\n1;2\n')
+    unclear.write_text("a,b;c\n1,2;3\n")
+    assert sniff_separator(spark, str(blank)) == ";"
+    assert typed_csv(spark, str(quoted)).columns == ["a,b,c", "d"]
+    with pytest.raises(ValueError, match="cannot be told"):
+        typed_csv(spark, str(unclear))
+
+
+def test_raw_csv_refuses_files_with_other_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "b.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw_csv(spark, str(tmp_path)).collect()
+
+
+def test_the_gate_refuses_a_target_of_another_type(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("id\n1\n")
+    registry = SchemaRegistry(spark, str(tmp_path / "registry"))
+    registry.record(StructType.fromDDL("id bigint"), "s", "t", APPROVED_ENDING)
+    target = PathTarget(str(tmp_path / "t"))
+    target.append(spark.sql("SELECT 5 AS id"))
+    with pytest.raises(SchemaDrift):
+        gated_etl(str(tmp_path / "x.csv"), registry, "s", "t", target)
+    assert target.read(spark).count() == 1
+
+
 def test_raw_csv_is_text(spark, orders_csv):
     assert raw_csv(spark, orders_csv).dtypes == [("name", "string"), ("id", "string")]
 

@@ -144,6 +144,23 @@ _PAGE_LOGS = f"""
          TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id) AS modified
   FROM (SELECT page_id, url, {_ADDRESS} AS address FROM pages)"""
 
+_PAGE_AGES = f"""
+  SELECT item_id, table_path, max(file_name) AS file, max(modified) AS ts,
+         {_age('max(modified)', _PAGES_NOW)} AS age
+  FROM ({_PAGE_LOGS}) GROUP BY item_id, table_path
+  UNION ALL
+  SELECT item_id, 'Tables/bare/t' || file_name[:20]::BIGINT, NULL, NULL, NULL FROM ({_PAGE_LOGS})
+  WHERE file_name[:20]::BIGINT % 10 = 0
+  UNION ALL
+  SELECT DISTINCT 'gone.' || item_id, NULL, NULL, NULL, NULL FROM ({_PAGE_LOGS})"""
+
+_RUN_LOG = f"""
+  SELECT {_LOG_COLUMNS}, 'Starting' AS "Status", 'N/A' AS "BatchId", false AS "IsDryRun"
+  FROM ({_ENDPOINTS})
+  UNION ALL
+  SELECT {_LOG_COLUMNS}, status, batch_id, false
+  FROM ({_ENDPOINTS}) JOIN ({_OUTCOMES}) ON item_id = endpoint_id WHERE finished"""
+
 ORACLES: dict[str, str] = {
     "freshness_detail": _DETAIL,
     "freshness_summary": _SUMMARY,
@@ -159,6 +176,12 @@ ORACLES: dict[str, str] = {
          CASE WHEN contains(workspace_name, '_') THEN '_' || split_part(workspace_name, '_', -1)
               ELSE '' END AS suffix
   FROM ({_CUSTOMER_WORKSPACES})""",
+    "current_suffix": f"""
+  SELECT workspace_id, workspace_name,
+         CASE WHEN contains(workspace_name, '_') THEN '_' || split_part(workspace_name, '_', -1)
+              ELSE '' END AS suffix
+  FROM ({_CUSTOMER_WORKSPACES}) WHERE workspace_id = 7""",
+    "service_targets": _TARGETS.format(prefix="'wh'", status="'F'"),
     "select_workspaces": _CHOSEN_WORKSPACES,
     "select_targets": _TARGETS.format(prefix="'wh'", status="'F'"),
     "table_inventory": f"""
@@ -189,6 +212,13 @@ ORACLES: dict[str, str] = {
   FROM (SELECT item_id, table_path, max(modified) AS ts, {_age('max(modified)', _PAGES_NOW)} AS age
         FROM ({_PAGE_LOGS}) GROUP BY ALL)
   GROUP BY item_id""",
+    "freshness_on_mount_detail": f"""
+  SELECT {_PAGES_NOW} AS "RunTs", 'WS_PAGES' AS "WorkspaceName", item_id AS "WarehouseName",
+         table_path AS "TablePath", file AS "LatestLogFile", ts AS "LatestLogTs",
+         CAST(printf('%.2f', CASE WHEN age <> 0 THEN age END) AS DOUBLE) AS "AgeHours",
+         CAST(22 AS DOUBLE) AS "ThresholdHours", coalesce(age > 22, false) AS "IsStale",
+         table_path IS NULL AS "Failed"
+  FROM ({_PAGE_AGES})""",
     "target_counts": f"""
   SELECT (SELECT count(*) FROM ({_CHOSEN_WORKSPACES})) AS matching_workspaces,
          (SELECT count(*) FROM ({_TARGETS.format(prefix="'wh'", status="'F'")})) AS targets""",
@@ -220,6 +250,11 @@ ORACLES: dict[str, str] = {
     "load_merge_partitions": """
   SELECT * REPLACE (
     CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice)
+  FROM orders""",
+    "load_merge_text_partitions": """
+  SELECT * REPLACE (
+      CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice),
+    lpad((o_custkey % 20)::VARCHAR, 2, '0') AS bucket
   FROM orders""",
     "csv_typed_scan": "SELECT * FROM orders",
     "csv_raw_scan": _ORDERS_TEXT,
@@ -251,6 +286,8 @@ ORACLES: dict[str, str] = {
               WHEN l_returnflag = 'R' THEN 'l_quantity' ELSE 'l_tax' END AS bad_columns
   FROM lineitem WHERE l_returnflag = 'R' OR l_linestatus = 'F'""",
     "gated_etl": "SELECT * FROM orders",
+    "gated_etl_strict": """
+  SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus, o_orderpriority FROM orders""",
     "sync_final_state": """
   SELECT endpoint_id, batch_id, state AS final_state FROM (
     SELECT user_id AS endpoint_id, strftime(ts, '%Y-%m-%d') AS batch_id, ts, event_id,
@@ -262,12 +299,8 @@ ORACLES: dict[str, str] = {
     FROM events WHERE event_type <> 'view')
   QUALIFY row_number() OVER (PARTITION BY endpoint_id, batch_id ORDER BY ts, event_id) = 1""",
     "sync_outcomes": _OUTCOMES,
-    "run_log_rows": f"""
-  SELECT {_LOG_COLUMNS}, 'Starting' AS "Status", 'N/A' AS "BatchId", false AS "IsDryRun"
-  FROM ({_ENDPOINTS})
-  UNION ALL
-  SELECT {_LOG_COLUMNS}, status, batch_id, false
-  FROM ({_ENDPOINTS}) JOIN ({_OUTCOMES}) ON item_id = endpoint_id WHERE finished""",
+    "run_log_rows": _RUN_LOG,
+    "run_log_append": _RUN_LOG,
     "run_log_dry_run": f"""
   SELECT {_LOG_COLUMNS}, unnest(['Starting', 'DRY_RUN_SUCCESS']) AS "Status",
          'N/A' AS "BatchId", true AS "IsDryRun"

@@ -23,6 +23,7 @@ from tarnkeep.sinks.targets import PathTarget
 from tarnkeep.sources.csv_files import raw_csv, typed_csv
 from tarnkeep.sources.folders import list_log_files, list_tables
 from tarnkeep.sources.registry import SchemaRegistry
+from tarnkeep.sources.service_lists import items_from, workspaces_from
 from tarnkeep.sources.tables import tables_from_paths
 from tarnkeep.storage import shared_folder
 from workload import frames
@@ -115,6 +116,28 @@ def select_targets(spark, sf_dir):
     return inventory.select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
 
 
+def current_suffix(spark, sf_dir):
+    return inventory.current_suffix(frames.customer_workspaces(spark, sf_dir), 7)
+
+
+def service_targets(spark, sf_dir):
+    """The same targets from lists named as the service exports them."""
+    workspaces = workspaces_from(
+        frames.customer_workspaces(spark, sf_dir).select(
+            F.col("workspace_id").alias("Id"), F.col("workspace_name").alias("Name")
+        )
+    )
+    listing = frames.order_items(spark, sf_dir).select(
+        F.col("workspace_id").alias("Workspace Id"),
+        F.col("item_id").alias("Id"),
+        F.col("item_type").alias("Type"),
+        F.col("item_name").alias("Display Name"),
+    )
+    chosen = inventory.select_workspaces(workspaces, SEGMENTS, "_N7")
+    items = items_from(listing, "Workspace Id")
+    return inventory.select_targets(chosen, items, WAREHOUSE_TYPE, WAREHOUSE_NAME)
+
+
 def target_counts(spark, sf_dir):
     workspaces = frames.customer_workspaces(spark, sf_dir)
     chosen = inventory.select_workspaces(workspaces, SEGMENTS, "_N7")
@@ -131,8 +154,8 @@ def pick_monitor_db(spark, sf_dir):
     return inventory.pick_monitor_db(frames.database_replies(spark, sf_dir))
 
 
-def _write_page_logs(root: str):
-    """Task body: one log file per page, dated by its id."""
+def _write_page_logs(root: str, bare: bool):
+    """Task body: one log file per page, dated by its id; if ``bare``, also tables without a log."""
     epoch = datetime(1970, 1, 1)
     first = datetime(2024, 1, 1)
 
@@ -146,16 +169,26 @@ def _write_page_logs(root: str):
                     file.write(page["url"])
                 written = first + timedelta(minutes=page["page_id"]) - epoch
                 os.utime(path, (written.total_seconds(),) * 2)
+                if bare and page["page_id"] % 10 == 0:
+                    os.makedirs(f"{root}/{page['item_id']}/Tables/bare/t{page['page_id']}", exist_ok=True)
             yield batch.select(["item_id"])
 
     return write
 
 
-def _page_tree(spark, sf_dir):
+def _mounted(spark, folder):
+    """The folder as the tasks' own file functions see it; only a local or ``file:`` path is one."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    if not folder.startswith("file:") and ("://" in folder or not default.startswith("file:")):
+        raise RuntimeError(f"{folder} is not a mounted path: set spark.checkpoint.dir to one")
+    return "/" + folder.removeprefix("file:").lstrip("/")
+
+
+def _page_tree(spark, sf_dir, bare=False):
     """A folder tree with one log file per page; its root and the page rows."""
-    root = shared_folder(spark, "page-tree").removeprefix("file:")
+    root = _mounted(spark, shared_folder(spark, "page-tree"))
     pages = frames.page_logs(spark, sf_dir)
-    written = pages.mapInArrow(_write_page_logs(root), "item_id string")
+    written = pages.mapInArrow(_write_page_logs(root, bare), "item_id string")
     written.write.format("noop").mode("overwrite").save()
     return root, pages
 
@@ -178,6 +211,17 @@ def freshness_mounted(spark, sf_dir):
     return freshness_on_mount(targets, root, frames.PAGES_NOW, frames.PAGES_THRESHOLD)[1]
 
 
+def freshness_mounted_detail(spark, sf_dir):
+    """Detail rows with tables that have no log and targets that have no folder."""
+    root, pages = _page_tree(spark, sf_dir, bare=True)
+    hosts = pages.select("item_id").distinct()
+    targets = hosts.unionAll(hosts.select(F.concat(F.lit("gone."), "item_id"))).select(
+        "item_id", F.lit("WS_PAGES").alias("workspace_name"), F.col("item_id").alias("item_name")
+    )
+    detail, _ = freshness_on_mount(targets, root, frames.PAGES_NOW, frames.PAGES_THRESHOLD)
+    return detail.withColumn("Failed", F.col("ErrorMessage").isNotNull()).drop("ErrorMessage")
+
+
 # -- loads -------------------------------------------------------------------------------
 
 
@@ -244,6 +288,18 @@ def load_merge_partitions(spark, sf_dir):
     return target.read(spark)
 
 
+def load_merge_text_partitions(spark, sf_dir):
+    """A merge into partitions whose names look like numbers but are text."""
+    target = PathTarget(shared_folder(spark, "orders"), partition_by=("bucket",))
+    bucket = F.lpad((F.col("o_custkey") % 20).cast("string"), 2, "0")
+    orders = table(spark, sf_dir, "orders").withColumn("bucket", bucket)
+    target.append(orders)
+    finished = orders.filter("o_orderstatus = 'F'")
+    source = finished.withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    load(source, target, "merge", key="o_orderkey")
+    return target.read(spark)
+
+
 # -- CSV and schema gate -----------------------------------------------------------------
 
 
@@ -325,6 +381,20 @@ def gated_orders(spark, sf_dir):
     return target.read(spark)
 
 
+def gated_strict(spark, sf_dir):
+    """The gate that compares types, which a text source passes for text columns."""
+    path = shared_folder(spark, "orders-csv")
+    texts = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string"), "o_orderstatus", "o_orderpriority"
+    )
+    texts.write.option("header", True).csv(path)
+    registry = SchemaRegistry(spark, shared_folder(spark, "registry"))
+    registry.record(texts.schema, "sales", "orders", drift.APPROVED_ENDING)
+    target = PathTarget(shared_folder(spark, "gated"))
+    gated_etl(path, registry, "sales", "orders", target, mode="strict")
+    return target.read(spark)
+
+
 # -- runs --------------------------------------------------------------------------------
 
 
@@ -352,6 +422,15 @@ def run_log_rows(spark, sf_dir):
     return _sync_log(spark, sf_dir, responses=replies, polls=frames.line_polls(spark, sf_dir))
 
 
+def run_log_append(spark, sf_dir):
+    """Log entries with 0/1 flags, brought to the log's types and appended in two runs."""
+    entries = run_log_rows(spark, sf_dir).withColumn("IsDryRun", F.col("IsDryRun").cast("int"))
+    log = shared_folder(spark, "run-log")
+    append_log(runs.as_run_log(entries.filter("Status = 'Starting'")), "parquet", path=log)
+    append_log(runs.as_run_log(entries.filter("Status <> 'Starting'")), "parquet", path=log)
+    return spark.read.parquet(log)
+
+
 def run_log_dry_run(spark, sf_dir):
     return _sync_log(spark, sf_dir, dry_run=True)
 
@@ -367,6 +446,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_label": health_label,
     "freshness_log_append": freshness_log_append,
     "env_suffix": env_suffixes,
+    "current_suffix": current_suffix,
+    "service_targets": service_targets,
     "select_workspaces": select_workspaces,
     "select_targets": select_targets,
     "target_counts": target_counts,
@@ -374,6 +455,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pick_monitor_db": pick_monitor_db,
     "log_file_listing": log_file_listing,
     "freshness_on_mount": freshness_mounted,
+    "freshness_on_mount_detail": freshness_mounted_detail,
     "target_scan_counts": target_scan_counts,
     "row_loss_guard": row_loss_guard,
     "post_load_check": post_load_check,
@@ -383,6 +465,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_merge": load_merge,
     "load_merge_first": load_merge_first,
     "load_merge_partitions": load_merge_partitions,
+    "load_merge_text_partitions": load_merge_text_partitions,
     "csv_typed_scan": csv_typed_scan,
     "csv_raw_scan": csv_raw_scan,
     "schema_fields": schema_fields,
@@ -391,9 +474,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_cast": schema_cast,
     "schema_rejects": schema_rejects,
     "gated_etl": gated_orders,
+    "gated_etl_strict": gated_strict,
     "sync_final_state": sync_final_state,
     "sync_outcomes": sync_outcomes,
     "run_log_rows": run_log_rows,
+    "run_log_append": run_log_append,
     "run_log_dry_run": run_log_dry_run,
     "sync_latest_status": sync_latest_status,
 }

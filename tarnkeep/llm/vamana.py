@@ -29,6 +29,8 @@ SHARD_ROWS, QUERY_BLOCK = 8_192, 2_048
 DEGREE, ROOM = 28, 44
 #: Beam widths for building and for queries, and the relaxation of distances.
 BUILD_BEAM, QUERY_BEAM, ALPHA = 40, 96, 1.2
+#: Tasks per shard, so that two shards seldom meet in one task.
+SPREAD = 3
 #: Vectors that are inserted together.
 BATCH = 256
 
@@ -166,9 +168,14 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     return rows.filter(finite & F.exists("vector", lambda x: x != 0)).withColumn("size", F.size("vector"))
 
 
-def graphs(points: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """From ``size``, ``vector`` and ``ids``: the same with ``shard``, ``place``, ``edges`` and ``start``."""
+def graphs(points: DataFrame, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
+    """From ``size``, ``vector`` and ``ids``: the same with ``shard``, ``place``, ``edges`` and ``start``.
+
+    Also the number of tasks that the shards are spread over.  It is given to Spark, which would
+    put many shards into one task for their few bytes, though each is much work.
+    """
     counts = points.groupBy("size").agg(F.ceil(F.count("*") / shard_rows).alias("shards"))
+    tasks = SPREAD * (counts.agg(F.sum("shards")).first()[0] or 1)
     sharded = points.join(counts, "size").withColumn(
         "shard", F.pmod(F.xxhash64("vector"), F.col("shards")).cast("int")
     )
@@ -189,11 +196,12 @@ def graphs(points: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
             }
         )
 
-    return sharded.groupBy("size", "shard").applyInPandas(
+    built = sharded.repartition(tasks, "size", "shard").groupBy("size", "shard").applyInPandas(
         graph,
         "size int, shard int, place long, start long, vector array<double>, ids array<long>,"
         " edges array<long>",
     )
+    return built, tasks
 
 
 def _searched(k: int, beam: int):
@@ -254,7 +262,8 @@ def nearest(
     points = usable(vectors, key, vector).distinct().withColumn("nth", first)
     points = points.filter(F.col("nth") <= k + 1).groupBy("size", "vector")
     points = points.agg(F.array_sort(F.collect_list("id")).alias("ids"))
-    nodes = written(graphs(points, shard_rows), "vector-graphs")
+    built, tasks = graphs(written(points, "vector-points"), shard_rows)
+    nodes = written(built, "vector-graphs")
     shards = nodes.select(F.col("size").alias("of"), F.col("shard").alias("at")).distinct()
     asked = usable(queries, key, vector).distinct()
     total = asked.count()
@@ -265,8 +274,9 @@ def nearest(
     nodes = nodes.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     by = ["size", "shard", "block"]
     found = (
-        nodes.groupBy(*by)
-        .cogroup(asked.groupBy(*by))
+        nodes.repartition(tasks * blocks, *by)
+        .groupBy(*by)
+        .cogroup(asked.repartition(tasks * blocks, *by).groupBy(*by))
         .applyInPandas(_searched(k, beam), "query_id long, vec_id long, score double")
         .groupBy("query_id", "vec_id")
         .agg(F.min("score").alias("score"))

@@ -75,7 +75,10 @@ def described(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     result[:, :N_KINDS] = frequencies(own, kinds, N_KINDS)
     if len(data) > 1:
         pairs = ((kinds[:-1] * N_KINDS + kinds[1:]) * 40503 >> 4) % PAIRS
-        result[:, N_KINDS : N_KINDS + PAIRS] = frequencies(own[:-1], pairs, PAIRS)
+        inner = offsets[1:-1]
+        within = np.ones(len(pairs), dtype=bool)  # pairs that do not reach into the next text
+        within[inner[(inner > 0) & (inner < len(data))] - 1] = False
+        result[:, N_KINDS : N_KINDS + PAIRS] = frequencies(own[:-1][within], pairs[within], PAIRS)
     found = words_of(texts, ALPHANUMERIC)
     if len(found.starts):
         place = own[found.starts]
@@ -224,11 +227,13 @@ def sampled(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
 
 def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of the sample; with no labels, or labels of one kind, little more than their rate."""
-    found = sampled(documents, labels, sample).toPandas().sort_values(["id", "label"])
-    bags = [np.frombuffer(b, dtype=np.float16).reshape(-1, WIDTH) for b in found["passages"]]
+    found = sampled(documents, labels, sample).toArrow().sort_by([("id", "ascending")])
+    bags = [
+        np.frombuffer(b, dtype=np.float16).reshape(-1, WIDTH) for b in found["passages"].to_pylist()
+    ]
     counts = np.array([len(b) for b in bags], dtype=np.int64)
     x = np.concatenate(bags).astype(np.float32) if bags else np.zeros((0, WIDTH), np.float32)
-    return trained(x, counts, found["label"].to_numpy(dtype=np.float64))
+    return trained(x, counts, found["label"].to_numpy().astype(np.float64))
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:

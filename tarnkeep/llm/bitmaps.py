@@ -25,8 +25,8 @@ def bitmap_of(rows: DataFrame, number: Column, bits: int = BITS) -> np.ndarray:
         rows.filter(number.isNotNull())
         .groupBy(word.cast("int").alias("word"))
         .agg(F.bit_or(bit).alias("bits"))
-        .toPandas()
+        .toArrow()
     )
     bitmap = np.zeros(words, dtype=np.uint64)
-    bitmap[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return bitmap

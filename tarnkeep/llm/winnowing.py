@@ -42,8 +42,11 @@ _ANCHORS = pa.list_(
 _ANCHORS_SQL = "array<struct<fingerprint:long,size:int,first:long,words:array<string>>>"
 
 
-def selected(found: Words) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the kept fingerprints among all words, and the hash at every position."""
+def chosen(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The position that each window selects, in order of all words, and the hash at every position.
+
+    Windows that cross from one text to the next have one too; it means nothing.
+    """
     grams = gram_hashes(found.hashes, GRAM)
     n = len(found.hashes) - WINDOW + 1
     if n <= 0:
@@ -53,7 +56,13 @@ def selected(found: Words) -> tuple[np.ndarray, np.ndarray]:
         later = grams[j : j + n] <= best
         best[later] = grams[j : j + n][later]
         place[later] = np.flatnonzero(later) + j
-    inside = found.text[:n] == found.text[WINDOW - 1 :]
+    return place, grams
+
+
+def selected(found: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the kept fingerprints among all words, and the hash at every position."""
+    place, grams = chosen(found)
+    inside = found.text[: len(place)] == found.text[WINDOW - 1 :]
     return np.unique(place[inside]), grams
 
 
@@ -74,14 +83,14 @@ def _texts(data: np.ndarray, found: Words, first: int, last: int) -> list[str]:
 def item_windows(items: DataFrame) -> DataFrame:
     """From ``item_id`` and ``text``: ``item_id``, ``size``, ``window`` and ``fingerprint``.
 
-    One row per window; ``fingerprint`` is one that lies in it.
+    One row per window; ``fingerprint`` is the one that this window selects, as it does in any text.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, texts in text_pieces(batch.column("text")):
                 found, low = words_of(texts, ALPHANUMERIC), LOWER[texts.data]
-                kept, grams = selected(found)
+                place, grams = chosen(found)
                 ends = np.cumsum(found.counts)
                 rows: list[tuple[int, int, str, int]] = []
                 for item, (end, count) in enumerate(zip(ends, found.counts, strict=True)):
@@ -91,9 +100,9 @@ def item_windows(items: DataFrame) -> DataFrame:
                         mark = gram_hashes(found.hashes[start:end], int(count))[0]
                         rows.append((item, count, " ".join(words), int(mark.view(np.int64))))
                     for i in range(count - WINDOW + 1):
-                        at = kept[np.searchsorted(kept, start + i)]
+                        mark = grams[place[start + i]]
                         window = " ".join(words[i : i + WINDOW])
-                        rows.append((item, WINDOW, window, int(grams[at].view(np.int64))))
+                        rows.append((item, WINDOW, window, int(mark.view(np.int64))))
                 which = pa.array([row[0] for row in rows], pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [

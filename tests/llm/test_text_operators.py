@@ -57,6 +57,29 @@ def test_winnowing_finds_every_shared_span_of_ten_words(spark):
     assert got == {i: (n, h, sha(",".join(x))) for i, (n, h, x) in expected.items()}
 
 
+def test_winnowing_finds_the_ends_of_items(spark):
+    pick = random.Random(6)
+    items, rows = [], []
+    for i in range(60):
+        words = [f"w{pick.randrange(10**6)}" for _ in range(pick.randint(11, 60))]
+        items.append((i, " ".join(words)))
+        middle = pick.randint(0, len(words) - 10)
+        parts = [words[:10], words[middle : middle + 10], *(words[-n:] for n in (10, 12, 14))]
+        rows += [(10 * i + k, " ".join(["x", *part, "y"])) for k, part in enumerate(parts)]
+    found = winnowing.op1(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    expected = {i: contamination(text, items) for i, text in rows}
+    got = {r.doc_id: (r.n_words, r.n_hit, r.items_sha256) for r in found.collect()}
+    assert got == {i: (n, h, sha(",".join(x))) for i, (n, h, x) in expected.items()}
+    kept = winnowing.decontaminated(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    )
+    assert kept.count() == 0
+
+
 def test_winnowing_spans_are_merged_words(spark):
     items = spark.createDataFrame([(1, PROSE)], "item_id long, text string")
     rows = spark.createDataFrame([(1, f"a b {PROSE} c")], "doc_id long, text string")

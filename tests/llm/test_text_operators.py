@@ -172,6 +172,31 @@ def test_repeats_equal_the_model(spark):
     assert _repeats(spark, rows) == sorted(expected, key=str)
 
 
+def test_a_hot_passage_never_fills_one_suffix_array(spark, monkeypatch):
+    pick = random.Random(9)
+    line = "".join(pick.choices("abcdefgh", k=120))
+    ends = ["".join(pick.choices("xyz", k=20)) for _ in range(6)]
+    rows = []
+    for i in range(80):
+        own = "".join(pick.choices("ijklmnop", k=20))
+        rows.append((i, pick.choice([own, *ends]) + line + pick.choice([own[::-1], *ends])))
+    rows += [(90, None), (None, line), (91, line[:60]), (92, rows[5][1])]
+    resolved = repeats._resolved
+
+    def bounded(batches):
+        batches, counts = list(batches), {}
+        for batch in batches:
+            for mark in batch.column("mark").to_pylist():
+                counts[mark] = counts.get(mark, 0) + 1
+        assert max(counts.values(), default=0) <= 8, "one task holds all contexts of a hot anchor"
+        return resolved(iter(batches))
+
+    monkeypatch.setattr(repeats, "SORTED_TOGETHER", 8)
+    monkeypatch.setattr(repeats, "_resolved", bounded)
+    expected = [(i, *r) for (i, _), r in zip(rows, repeated_bytes(rows), strict=True)]
+    assert _repeats(spark, rows) == sorted(expected, key=str)
+
+
 def test_repeats_of_nothing(spark):
     assert _repeats(spark, []) == []
 

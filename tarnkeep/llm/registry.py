@@ -5,15 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import corpus_pipeline
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tarnkeep.llm import (
     attention,
-    bpe_counts,
     circulant,
     hash_tree,
     line_spread,
+    periodic,
     raking,
     repeats,
     secrets,
@@ -44,6 +43,11 @@ def op4_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Only this query needs a tokenizer's library and file.
+    import public_tokenizers
+
+    from tarnkeep.llm import bpe_counts
+
     documents = table(apply_settings(spark), sf_dir, "documents")
     return bpe_counts.token_counts(documents, public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -68,6 +72,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op10(table(apply_settings(spark), sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.op12(table(apply_settings(spark), sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_raking": op2_raking,
@@ -79,6 +87,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_groups": op8_suffix_groups,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
+    "op12_periodic_runs": op12_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 

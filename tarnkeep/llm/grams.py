@@ -104,9 +104,9 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
     return sums
 
 
-def words_of(texts: Texts, inside: np.ndarray) -> Words:
-    """All words, which are the longest runs of bytes that ``inside`` marks after lower-casing."""
-    data, offsets = LOWER[texts.data], texts.offsets
+def words_of(texts: Texts, inside: np.ndarray, lower: bool = True) -> Words:
+    """All words, which are the longest runs of bytes that ``inside`` marks, lower-cased before if wanted."""
+    data, offsets = LOWER[texts.data] if lower else texts.data, texts.offsets
     n = len(data)
     word = np.zeros(n + 2, dtype=bool)
     word[1:-1] = inside[data]

@@ -14,6 +14,7 @@ from tarnkeep.llm import (
     line_spread,
     periodic,
     raking,
+    relative_lz,
     repeats,
     secrets,
     vamana,
@@ -76,6 +77,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.op12(table(apply_settings(spark), sf_dir, "documents"))
 
 
+def op13_relative_lz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative_lz.op13(table(apply_settings(spark), sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_winnowing": op1_winnowing,
     "op2_raking": op2_raking,
@@ -88,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_relative_lz": op13_relative_lz,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tarnkeep.llm import (
     attention,
+    burst_trie,
     circulant,
     hash_tree,
     line_spread,
@@ -73,6 +74,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.op10(table(apply_settings(spark), sf_dir, "documents"))
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return burst_trie.op11(table(apply_settings(spark), sf_dir, "conversations"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.op12(table(apply_settings(spark), sf_dir, "documents"))
 
@@ -92,6 +97,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_groups": op8_suffix_groups,
     "op9_circulant": op9_circulant,
     "op10_secrets": op10_secrets,
+    "op11_burst_trie": op11_burst_trie,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_relative_lz": op13_relative_lz,
     "pipeline": corpus_pipeline.run,

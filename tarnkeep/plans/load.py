@@ -6,9 +6,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from tarnkeep.operators.digest import added, content_digest, content_measures
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
 from tarnkeep.operators.merge import conform, last_per_key, merge_rows
 from tarnkeep.sinks.targets import PathTarget, TableTarget
@@ -34,6 +35,7 @@ def load(
     allow_empty: bool = False,
     max_loss_pct: float = MAX_LOSS_PCT,
     stored_source: bool = False,
+    check: str = "rows",
 ) -> DataFrame:
     """Run one load and return its report, a single row with the columns of ``REPORT``.
 
@@ -42,6 +44,11 @@ def load(
     adds the others; keys that occur more than once in the source are an error, or, with
     ``on_duplicate="last"``, the last by ``order_by`` counts.
 
+    With ``check="rows"`` at least the required number of rows must be in the target afterwards.  With
+    ``check="content"`` the target must hold exactly the rows that were written: their digest is gathered
+    while they are written and compared with one of the stored rows, so that a lost, repeated or
+    changed value fails the load.  This reads the target (before an append, too), but never the source again.
+
     A merge reads its source several times, so it first writes it to the shared folder; say
     ``stored_source`` if it already is a columnar copy that will not change meanwhile.
     """
@@ -52,21 +59,24 @@ def load(
         raise ValueError("a merge needs a key")
     if on_duplicate not in ("raise", "last") or (on_duplicate == "last" and not order_by):
         raise ValueError("on_duplicate is 'raise', or 'last' together with order_by")
+    if check not in ("rows", "content"):
+        raise ValueError("check is 'rows' or 'content'")
 
     target.recover(spark)
     before = target.read(spark)
     rows_before = 0 if before is None else before.count()
     if before is not None:
         source = conform(source, before.schema)
+    proof = Proof(target, check == "content")
     if strategy == "append":
-        source_rows, loss, required = target.append(source), None, None
+        source_rows, loss, required = proof.append(source)["rows"], None, None
     elif strategy == "fullload":
         source_rows, loss, required = _full(
-            source, target, None if before is None else rows_before, allow_empty, max_loss_pct
+            source, target, proof, None if before is None else rows_before, allow_empty, max_loss_pct
         )
     else:
         source_rows, loss, required = _merge(
-            source, target, before, key, on_duplicate, order_by, stored_source
+            source, target, proof, before, key, on_duplicate, order_by, stored_source
         )
     rows_after = target.read(spark).count()
     if required is not None and rows_after < required:
@@ -75,10 +85,48 @@ def load(
     return spark.createDataFrame([report], REPORT)
 
 
-def _full(source, target, rows_before, allow_empty, max_loss_pct):
+class Proof:
+    """Writes to a target and, if wanted, compares what it then holds with what was written."""
+
+    def __init__(self, target: PathTarget | TableTarget, wanted: bool):
+        self._target, self._wanted = target, wanted
+
+    def _measures(self, frame: DataFrame) -> list[Column]:
+        return content_measures(frame) if self._wanted else []
+
+    def _compare(self, expected: dict[str, object], held: DataFrame) -> None:
+        if self._wanted and (found := content_digest(held)) != expected:
+            raise LoadRejected(f"the target does not hold what was written: {found} instead of {expected}")
+
+    def append(self, frame: DataFrame) -> dict[str, object]:
+        spark = frame.sparkSession
+        before = content_digest(self._target.read(spark)) if self._wanted else None
+        written = self._target.append(frame, self._measures(frame))
+        if self._wanted:
+            self._compare(added(before, written), self._target.read(spark))
+        return written
+
+    def stage(self, frame: DataFrame) -> tuple[str, dict[str, object]]:
+        return self._target.stage(frame, self._measures(frame))
+
+    def publish(self, spark: SparkSession, staged: tuple[str, dict[str, object]]) -> None:
+        self._target.publish(spark, staged[0])
+        self._compare(staged[1], self._target.read(spark))
+
+    def replace_partitions(self, frame: DataFrame, source: DataFrame) -> None:
+        """Exchange the partitions that ``source`` has rows for."""
+        written = self._target.replace_partitions(frame, self._measures(frame))
+        if self._wanted:
+            spark = frame.sparkSession
+            held = self._target.read(spark)
+            self._compare(written, _same_partitions(held, source, self._target.partitions(spark)))
+
+
+def _full(source, target, proof, rows_before, allow_empty, max_loss_pct):
     """The staged copy is what gets counted, so the source is read only once."""
     spark = source.sparkSession
-    staged = target.stage(source)
+    copy = proof.stage(source)
+    staged = copy[0]
     source_rows = target.staged_rows(spark, staged)
     loss = None
     if source_rows == 0 and not allow_empty:
@@ -96,27 +144,27 @@ def _full(source, target, rows_before, allow_empty, max_loss_pct):
                 f"row loss: source has {source_rows:,} rows, target {rows_before:,} "
                 f"({loss:.1f}% loss)"
             )
-    target.publish(spark, staged)
+    proof.publish(spark, copy)
     return source_rows, loss, source_rows
 
 
-def _merge(source, target, before, key, on_duplicate, order_by, stored_source):
+def _merge(source, target, proof, before, key, on_duplicate, order_by, stored_source):
     spark = source.sparkSession
     if before is None:
-        staged = target.stage(source)
-        source_rows = target.staged_rows(spark, staged)
-        target.publish(spark, staged)
+        staged = proof.stage(source)
+        source_rows = target.staged_rows(spark, staged[0])
+        proof.publish(spark, staged)
         return source_rows, None, source_rows
     if stored_source:
-        return _merge_stored(source, target, before, key, on_duplicate, order_by)
+        return _merge_stored(source, target, proof, before, key, on_duplicate, order_by)
     copy, path = kept(source, "merge-source")
     try:
-        return _merge_stored(copy, target, before, key, on_duplicate, order_by)
+        return _merge_stored(copy, target, proof, before, key, on_duplicate, order_by)
     finally:
         Storage(spark).delete(path)
 
 
-def _merge_stored(source, target, before, key, on_duplicate, order_by):
+def _merge_stored(source, target, proof, before, key, on_duplicate, order_by):
     spark = source.sparkSession
     keys = key_profile(source, key).first()
     if keys.source_rows == 0:
@@ -131,16 +179,16 @@ def _merge_stored(source, target, before, key, on_duplicate, order_by):
         target.merge(source, key)
         return keys.source_rows, None, required
 
-    partition_by = target.partition_by if isinstance(target, PathTarget) else ()
+    partition_by = target.partitions(spark)
     matches = _matches(source, before, key, partition_by)
     if matches.here + matches.elsewhere == 0:
-        target.append(source)
+        proof.append(source)
         return keys.source_rows, None, required
     if partition_by and matches.elsewhere == 0:
         touched = _same_partitions(before, source, partition_by)
-        target.replace_partitions(merge_rows(source, touched, key))
+        proof.replace_partitions(merge_rows(source, touched, key), source)
     else:
-        target.publish(spark, target.stage(merge_rows(source, before, key)))
+        proof.publish(spark, proof.stage(merge_rows(source, before, key)))
     return keys.source_rows, None, required
 
 

@@ -1,25 +1,27 @@
 """Load targets that are written beside the old data and then swapped in.
 
 Spark overwrites a folder by deleting it first, and cannot overwrite what the same plan reads.
-So new content goes to a staging name next to the target (the same storage), is counted there,
-and takes the target's place by rename.  Two renames are not one atomic step: a run that dies
-between them leaves the old data under the backup name, and ``recover`` puts it back.  Every
-write recovers first, and a backup is deleted only beside a folder that carries the mark of a
-finished swap.
-
-A format with its own transaction log overwrites and merges in one commit; for such targets
-(``transactional=True``) the staged content is written over the target instead, which keeps
+So new content goes to a staging folder next to the target (the same storage), is counted there,
+and takes the target's place by rename.  Neither the two renames of a whole target nor those of some of its
+partitions are one atomic step, so every write first puts right what an earlier one left behind:
+
+* A staged copy that was never swapped in is deleted.
+* Between the two renames the old data has the backup name: it is put back.  A backup is deleted only beside
+  a folder that carries the mark of a finished swap.
+* Partitions are exchanged only after a list of all of them is in place; an exchange with such a list is carried on.
+
+One load at a time may write a target.  A format with its own transaction log overwrites and merges in one commit;
+for such targets (``transactional=True``) the staged content is written over the target instead, which keeps
 its history.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -30,17 +32,22 @@ RECORDS_PER_FILE = 500_000
 # Files of a target folder that Spark's readers do not see.
 SCHEMA_FILE = "_schema.json"
 SWAPPED_FILE = "_swapped"
+STAGED_FILE = "_staged"
+EXCHANGE_FILE = "_exchange.json"
 
 
 def _writer(
-    frame: DataFrame, partition_by: Sequence[str], written: Observation | None = None
+    frame: DataFrame,
+    partition_by: Sequence[str],
+    written: Observation | None = None,
+    measures: Sequence[Column] = (),
 ) -> DataFrameWriter:
     if partition_by:
         # Rows of a partition are brought together; a hot one is still split among tasks.
         frame = frame.hint("rebalance", *partition_by)
     if written is not None:
         # Above any shuffle: a shuffle's tasks may run, and count, more than once.
-        frame = frame.observe(written, F.count(F.lit(1)).alias("rows"))
+        frame = frame.observe(written, F.count(F.lit(1)).alias("rows"), *measures)
     writer = frame.write.option("maxRecordsPerFile", RECORDS_PER_FILE)
     return writer.partitionBy(*partition_by) if partition_by else writer
 
@@ -64,26 +71,35 @@ class PathTarget:
             return None
         return self._load(spark, self._base)
 
-    def append(self, frame: DataFrame) -> int:
-        """Add all rows and return how many they were."""
+    def partitions(self, spark: SparkSession) -> Sequence[str]:
+        """The columns that name folders."""
+        return self.partition_by
+
+    def append(self, frame: DataFrame, measures: Sequence[Column] = ()) -> dict[str, object]:
+        """Add all rows; returns their number as ``rows`` and the ``measures``, aggregates of them."""
         self.recover(frame.sparkSession)
         self._keep_schema(frame, self._base)
         written = Observation()
-        writer = _writer(frame, self.partition_by, written).format(self.format)
+        writer = _writer(frame, self.partition_by, written, measures).format(self.format)
         writer.mode("append").save(self.path)
-        return written.get["rows"]
+        return written.get
 
-    def stage(self, frame: DataFrame) -> str:
-        staged = f"{self._base}__staged_{uuid.uuid4().hex}"
+    def stage(self, frame: DataFrame, measures: Sequence[Column] = ()) -> tuple[str, dict[str, object]]:
+        """A copy beside the target, and ``rows`` and the ``measures`` as they were written."""
+        staged, files = self._staged, Storage(frame.sparkSession)
+        if files.exists(staged):
+            files.delete(staged)
+        written = Observation()
         try:
             self._keep_schema(frame, staged)
-            _writer(frame, self.partition_by).format(self.format).mode("append").save(staged)
+            writer = _writer(frame, self.partition_by, written, measures).format(self.format)
+            writer.mode("append").save(staged)
+            files.write_text(f"{staged}/{STAGED_FILE}", "")
         except Exception:
-            files = Storage(frame.sparkSession)
             if files.exists(staged):
                 files.delete(staged)
             raise
-        return staged
+        return staged, written.get
 
     def staged_rows(self, spark: SparkSession, staged: str) -> int:
         return spark.read.format(self.format).load(staged).count()
@@ -116,6 +132,7 @@ class PathTarget:
 
     def publish(self, spark: SparkSession, staged: str) -> None:
         files = Storage(spark)
+        files.delete(f"{staged}/{STAGED_FILE}")
         if not files.exists(self._base):
             files.rename(staged, self._base)
         elif self.transactional:
@@ -134,34 +151,77 @@ class PathTarget:
     def discard(self, spark: SparkSession, staged: str) -> None:
         Storage(spark).delete(staged)
 
-    def recover(self, spark: SparkSession) -> None:
-        """Finish or undo a swap that was cut off; both folders without its mark are an error."""
-        files = Storage(spark)
-        if not files.exists(self._backup):
-            return
-        if not files.exists(self._base):
-            files.rename(self._backup, self._base)
+    def recover(self, spark: SparkSession) -> bool:
+        """Finish or undo what a write that was cut off left behind; whether there was anything.
+
+        A target and a backup without the mark of a swap are an error.
+        """
+        files, found = Storage(spark), False
+        if files.exists(self._backup):
+            found = True
+            if not files.exists(self._base):
+                files.rename(self._backup, self._base)
+            elif files.exists(f"{self._base}/{SWAPPED_FILE}"):
+                files.delete(self._backup)
+                files.delete(f"{self._base}/{SWAPPED_FILE}")
+            else:
+                raise RuntimeError(
+                    f"{self._base} and {self._backup} both hold data that no swap put there: merge them by hand"
+                )
         elif files.exists(f"{self._base}/{SWAPPED_FILE}"):
-            files.delete(self._backup)
             files.delete(f"{self._base}/{SWAPPED_FILE}")
-        else:
-            raise RuntimeError(
-                f"{self._base} and {self._backup} both hold data that no swap put there: merge them by hand"
-            )
-
-    def replace_partitions(self, frame: DataFrame) -> None:
+        if files.exists(f"{self._exchange}/{EXCHANGE_FILE}"):
+            found = True
+            self._carry_on(files)
+        for left in (self._staged, self._exchange, self._replaced):
+            if files.exists(left):
+                found = True
+                files.delete(left)
+        return found
+
+    def replace_partitions(
+        self, frame: DataFrame, measures: Sequence[Column] = ()
+    ) -> dict[str, object]:
         """Overwrite just the partitions that ``frame`` has rows for; it may read the target.
 
-        All of ``frame`` is written aside before the first partition is exchanged.
+        All of ``frame`` is written aside first.  Then the list of its partitions is put there, and from then on
+        the exchange is carried on by whoever comes next, should it be cut off.
         """
-        (
-            _writer(frame, self.partition_by)
-            .format(self.format)
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .save(self.path)
-        )
-        frame.sparkSession.catalog.refreshByPath(self.path)
+        spark = frame.sparkSession
+        written = Observation()
+        writer = _writer(frame, self.partition_by, written, measures).format(self.format)
+        writer.mode("overwrite").save(self._exchange)
+        self.exchange(spark, self._exchange)
+        return written.get
+
+    def exchange(self, spark: SparkSession, content: str) -> None:
+        """Put the partition folders of ``content``, a complete copy beside the target, in the place of the old ones."""
+        files = Storage(spark)
+        if content != self._exchange:
+            files.rename(content, self._exchange)
+        folders = [""]
+        for _ in self.partition_by:
+            folders = [f"{at}/{name}" for at in folders for name in files.names(f"{self._exchange}{at}") if "=" in name]
+        # Renamed when whole, so that a list is complete or not there.
+        files.write_text(f"{self._exchange}/{EXCHANGE_FILE}.new", json.dumps(folders))
+        files.rename(f"{self._exchange}/{EXCHANGE_FILE}.new", f"{self._exchange}/{EXCHANGE_FILE}")
+        self._carry_on(files)
+        spark.catalog.refreshByPath(self.path)
+
+    def _carry_on(self, files: Storage) -> None:
+        """Exchange what is left of a list of partitions; each step may have been the last one before."""
+        for folder in json.loads(files.read_text(f"{self._exchange}/{EXCHANGE_FILE}")):
+            new, old, aside = (f"{at}{folder}" for at in (self._exchange, self._base, self._replaced))
+            if not files.exists(new):
+                continue
+            for at in (old, aside):
+                files.make_folder(at.rpartition("/")[0])
+            if files.exists(old):
+                files.rename(old, aside)
+            files.rename(new, old)
+        files.delete(self._exchange)
+        if files.exists(self._replaced):
+            files.delete(self._replaced)
 
     @property
     def _base(self) -> str:
@@ -171,14 +231,25 @@ class PathTarget:
     def _backup(self) -> str:
         return f"{self._base}__previous"
 
+    @property
+    def _staged(self) -> str:
+        return f"{self._base}__staged"
+
+    @property
+    def _exchange(self) -> str:
+        return f"{self._base}__exchange"
+
+    @property
+    def _replaced(self) -> str:
+        return f"{self._base}__replaced"
+
 
 @dataclass(frozen=True)
 class TableTarget:
     """A managed catalog table; a ``transactional`` one must support row-level MERGE.
 
-    Other tables are replaced by a renamed copy, which keeps no properties of the old one.  A
-    catalog need not move partitions along with a renamed table, so a partitioned table is
-    written anew from its staged copy, which stays until that is done.
+    The folder of any other table is swapped, or some of its partitions exchanged, as for a
+    :class:`PathTarget`; the table itself, with its properties, is never dropped.
     """
 
     name: str
@@ -190,57 +261,82 @@ class TableTarget:
         """Current rows, or None if there is no such table; any other failure is raised."""
         return spark.table(self.name) if spark.catalog.tableExists(self.name) else None
 
-    def append(self, frame: DataFrame) -> int:
-        """Add all rows and return how many they were."""
+    def partitions(self, spark: SparkSession) -> Sequence[str]:
+        """The partition columns, as asked for or as the table already has them."""
+        if self.partition_by or not spark.catalog.tableExists(self.name):
+            return self.partition_by
+        return tuple(c.name for c in spark.catalog.listColumns(self.name) if c.isPartition)
+
+    def append(self, frame: DataFrame, measures: Sequence[Column] = ()) -> dict[str, object]:
+        """Add all rows; returns their number as ``rows`` and the ``measures``, aggregates of them."""
         self.recover(frame.sparkSession)
         written = Observation()
-        partition_by = self._partitions(frame.sparkSession)
-        self._save(frame, self.name, "append", partition_by, written)
-        return written.get["rows"]
+        self._save(frame, self.name, "append", self.partitions(frame.sparkSession), written, measures)
+        return written.get
 
-    def stage(self, frame: DataFrame) -> str:
+    def stage(self, frame: DataFrame, measures: Sequence[Column] = ()) -> tuple[str, dict[str, object]]:
+        """A copy beside the target, and ``rows`` and the ``measures`` as they were written."""
         spark = frame.sparkSession
-        renamed = f"{self.name}__staged_{uuid.uuid4().hex}"
-        staged = self._pending if self._partitions(spark) else renamed
+        if not self.transactional:
+            return self._folder(spark).stage(frame, measures)
+        written = Observation()
         try:
-            self._save(frame, staged, "error")
+            self._save(frame, self._staged, "error", (), written, measures)
         except Exception:
-            spark.sql(f"DROP TABLE IF EXISTS {staged}")
+            spark.sql(f"DROP TABLE IF EXISTS {self._staged}")
             raise
-        return staged
+        return self._staged, written.get
 
     def staged_rows(self, spark: SparkSession, staged: str) -> int:
+        if not self.transactional:
+            return self._folder(spark).staged_rows(spark, staged)
         return spark.table(staged).count()
 
     def publish(self, spark: SparkSession, staged: str) -> None:
-        old = spark.catalog.tableExists(self.name)
-        partition_by = self._partitions(spark)
-        if partition_by or (old and self.transactional):
+        partition_by = self.partitions(spark)
+        if self.transactional:
             self._save(spark.table(staged), self.name, "overwrite", partition_by)
             self.discard(spark, staged)
             return
-        if old:
-            self._rename(spark, self.name, self._backup)
-        self._rename(spark, staged, self.name)
-        if old:
-            spark.sql(f"DROP TABLE {self._backup}")
+        folder = self._folder(spark)
+        if not spark.catalog.tableExists(self.name):
+            self._save(folder._load(spark, staged).limit(0), self.name, "error", partition_by)
+        folder.publish(spark, staged)
+        self._follow(spark)
 
     def discard(self, spark: SparkSession, staged: str) -> None:
-        spark.sql(f"DROP TABLE {staged}")
-
-    def recover(self, spark: SparkSession) -> None:
-        """Finish or undo a replacement that was cut off."""
-        present = spark.catalog.tableExists(self.name)
-        if spark.catalog.tableExists(self._pending):
-            if present:
-                self.discard(spark, self._pending)
-            else:
-                self.publish(spark, self._pending)
-        if spark.catalog.tableExists(self._backup):
-            if present:
-                spark.sql(f"DROP TABLE {self._backup}")
-            else:
-                self._rename(spark, self._backup, self.name)
+        if self.transactional:
+            spark.sql(f"DROP TABLE {staged}")
+        else:
+            Storage(spark).delete(staged)
+
+    def recover(self, spark: SparkSession) -> bool:
+        """Finish or undo what a write that was cut off left behind; whether there was anything."""
+        if self.transactional:
+            left = spark.catalog.tableExists(self._staged)
+            spark.sql(f"DROP TABLE IF EXISTS {self._staged}")
+            return left
+        folder = self._folder(spark)
+        staged = f"{folder.path}__staged"
+        if not spark.catalog.tableExists(self.name):
+            # The first content of a new table, complete but not yet in place.
+            if Storage(spark).exists(f"{staged}/{STAGED_FILE}"):
+                self.publish(spark, staged)
+                return True
+            return False
+        found = folder.recover(spark)
+        if found:
+            self._follow(spark)
+        return found
+
+    def replace_partitions(
+        self, frame: DataFrame, measures: Sequence[Column] = ()
+    ) -> dict[str, object]:
+        """Overwrite just the partitions that ``frame`` has rows for; it may read the target."""
+        spark = frame.sparkSession
+        written = self._folder(spark).replace_partitions(frame, measures)
+        self._follow(spark)
+        return written
 
     def merge(self, source: DataFrame, key: str) -> None:
         """The table format's own MERGE: update every match, insert the rest."""
@@ -255,23 +351,29 @@ class TableTarget:
         mode: str,
         partition_by: Sequence[str] = (),
         written: Observation | None = None,
+        measures: Sequence[Column] = (),
     ) -> None:
-        writer = _writer(frame, partition_by, written).format(self.format)
+        writer = _writer(frame, partition_by, written, measures).format(self.format)
         writer.mode(mode).saveAsTable(name)
 
-    def _partitions(self, spark: SparkSession) -> Sequence[str]:
-        """As asked for, or as the table already has them."""
-        if self.partition_by or not spark.catalog.tableExists(self.name):
-            return self.partition_by
-        return [c.name for c in spark.catalog.listColumns(self.name) if c.isPartition]
+    def _folder(self, spark: SparkSession) -> PathTarget:
+        return PathTarget(table_folder(spark, self.name), self.format, tuple(self.partitions(spark)))
 
-    def _rename(self, spark: SparkSession, name: str, new_name: str) -> None:
-        spark.sql(f"ALTER TABLE {name} RENAME TO {new_name}")
+    def _follow(self, spark: SparkSession) -> None:
+        """Make the catalog see the folder as it is now."""
+        if self.partitions(spark):
+            spark.sql(f"MSCK REPAIR TABLE {self.name} SYNC PARTITIONS")
+        spark.sql(f"REFRESH TABLE {self.name}")
 
     @property
-    def _backup(self) -> str:
-        return f"{self.name}__previous"
+    def _staged(self) -> str:
+        return f"{self.name}__staged"
 
-    @property
-    def _pending(self) -> str:
-        return f"{self.name}__pending"
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """Where a table of the session catalog is, or would be created."""
+    state = spark._jsparkSession.sessionState()
+    identifier = state.sqlParser().parseTableIdentifier(name)
+    if spark.catalog.tableExists(name):
+        return state.catalog().getTableMetadata(identifier).location().toString().rstrip("/")
+    return state.catalog().defaultTablePath(identifier).toString().rstrip("/")

@@ -32,6 +32,15 @@ class Storage:
         if not system.delete(name, True):
             raise OSError(f"could not delete {path}")
 
+    def names(self, path: str) -> list[str]:
+        """Names of the entries directly in a folder."""
+        system, name = self._open(path)
+        return [entry.getPath().getName() for entry in system.listStatus(name)]
+
+    def make_folder(self, path: str) -> None:
+        system, name = self._open(path)
+        system.mkdirs(name)
+
     def write_text(self, path: str, text: str) -> None:
         system, name = self._open(path)
         out = system.create(name, True)

@@ -251,6 +251,11 @@ ORACLES: dict[str, str] = {
   SELECT * REPLACE (
     CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice)
   FROM orders""",
+    "load_merge_table": """
+  SELECT * REPLACE (
+    CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice)
+  FROM orders""",
+    "load_full_proved": _RESTATED,
     "load_merge_text_partitions": """
   SELECT * REPLACE (
       CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice),

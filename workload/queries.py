@@ -19,7 +19,7 @@ from tarnkeep.plans.gated_etl import gated_etl
 from tarnkeep.plans.load import load
 from tarnkeep.plans.sync_log import sync_log, sync_targets
 from tarnkeep.sinks.log_tables import append_log
-from tarnkeep.sinks.targets import PathTarget
+from tarnkeep.sinks.targets import PathTarget, TableTarget
 from tarnkeep.sources.csv_files import raw_csv, typed_csv
 from tarnkeep.sources.folders import list_log_files, list_tables
 from tarnkeep.sources.registry import SchemaRegistry
@@ -275,6 +275,24 @@ def load_merge(spark, sf_dir):
     return target.read(spark)
 
 
+def load_merge_table(spark, sf_dir):
+    """A merge into a partitioned catalog table; one of three partitions is exchanged."""
+    folder = shared_folder(spark, "orders-table")
+    name = f"orders_{folder.rpartition('-')[2]}"
+    orders = table(spark, sf_dir, "orders")
+    orders.write.partitionBy("o_orderstatus").option("path", folder).saveAsTable(name)
+    target = TableTarget(name)
+    load(frames.repriced_orders(spark, sf_dir), target, "merge", key="o_orderkey", check="content")
+    return target.read(spark)
+
+
+def load_full_proved(spark, sf_dir):
+    """A full load whose stored content is compared with what was written."""
+    target = _orders_target(spark, sf_dir)
+    load(frames.restated_orders(spark, sf_dir), target, "fullload", check="content")
+    return target.read(spark)
+
+
 def load_merge_first(spark, sf_dir):
     target = PathTarget(shared_folder(spark, "orders"))
     load(frames.restated_orders(spark, sf_dir), target, "merge", key="o_orderkey")
@@ -464,6 +482,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_full": load_full,
     "load_merge": load_merge,
     "load_merge_first": load_merge_first,
+    "load_merge_table": load_merge_table,
+    "load_full_proved": load_full_proved,
     "load_merge_partitions": load_merge_partitions,
     "load_merge_text_partitions": load_merge_text_partitions,
     "csv_typed_scan": csv_typed_scan,

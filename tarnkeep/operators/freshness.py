@@ -45,6 +45,20 @@ def latest_log_file(files: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def advance_latest(state: DataFrame, files: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The newest file per table of all runs: that of ``state`` or one of the ``files`` seen since.
+
+    ``state`` has the ``keys``, ``latest_file`` and ``latest_ts``, as this returns them.  The newest file of
+    two sets of files is the newer one of their newest files, so however files are split into runs, in whatever
+    order these come and even if a file is seen twice, the last state is the result over all of them.  A
+    folder that could not be listed leaves the state of its table as it was.
+    """
+    before = state.select(*keys, F.col("latest_file").alias("file_name"), F.col("latest_ts").alias("modified"))
+    seen = without_zone(files, "modified").select(*keys, "file_name", "modified")
+    both = before.unionByName(seen.filter("file_name IS NOT NULL AND modified IS NOT NULL"))
+    return latest_log_file(both, keys).select(*keys, "latest_file", "latest_ts")
+
+
 def table_ages(
     tables: DataFrame,
     files: DataFrame,

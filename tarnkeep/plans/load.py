@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tarnkeep.operators.digest import added, content_digest, content_measures
 from tarnkeep.operators.guards import MAX_LOSS_PCT, key_profile, row_loss_guard
 from tarnkeep.operators.merge import conform, last_per_key, merge_rows
+from tarnkeep.sinks.bucketed import BucketedTarget
 from tarnkeep.sinks.targets import PathTarget, TableTarget
 from tarnkeep.storage import Storage, kept
 
@@ -27,7 +28,7 @@ class LoadRejected(ValueError):
 
 def load(
     source: DataFrame,
-    target: PathTarget | TableTarget,
+    target: PathTarget | TableTarget | BucketedTarget,
     strategy: str,
     key: str | None = None,
     on_duplicate: str = "raise",
@@ -48,6 +49,7 @@ def load(
     ``check="content"`` the target must hold exactly the rows that were written: their digest is gathered
     while they are written and compared with one of the stored rows, so that a lost, repeated or
     changed value fails the load.  This reads the target (before an append, too), but never the source again.
+    Merges by a format's own MERGE and into a ``BucketedTarget`` are checked by rows alone.
 
     A merge reads its source several times, so it first writes it to the shared folder; say
     ``stored_source`` if it already is a columnar copy that will not change meanwhile.
@@ -88,7 +90,7 @@ def load(
 class Proof:
     """Writes to a target and, if wanted, compares what it then holds with what was written."""
 
-    def __init__(self, target: PathTarget | TableTarget, wanted: bool):
+    def __init__(self, target: PathTarget | TableTarget | BucketedTarget, wanted: bool):
         self._target, self._wanted = target, wanted
 
     def _measures(self, frame: DataFrame) -> list[Column]:
@@ -175,6 +177,11 @@ def _merge_stored(source, target, proof, before, key, on_duplicate, order_by):
         source = last_per_key(source, key, order_by)
     required = keys.distinct_keys + keys.null_keys
 
+    if isinstance(target, BucketedTarget):
+        if key != target.key:
+            raise ValueError(f"{target.name} is laid out by {target.key}, so it is merged by that")
+        target.merge_rows(source)
+        return keys.source_rows, None, required
     if isinstance(target, TableTarget) and target.transactional:
         target.merge(source, key)
         return keys.source_rows, None, required

@@ -3,8 +3,8 @@
 Spark's own file index lists on the driver, keeps every entry there and hides names that
 start with ``_`` or ``.`` as well as empty files.  Here each task scans the folders of its
 own rows and streams the entries out, so neither the driver nor one task ever holds a whole
-listing.  The path must be mounted on every executor.  For storage that is not mounted, use
-:func:`indexed_log_files`.
+listing.  The path must be mounted on every executor.  For other storage see
+:mod:`tarnkeep.sources.store_listing`.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tarnkeep.functions.ages import utc_wall_time
-from tarnkeep.functions.names import last_segment
 from tarnkeep.sources.tables import TABLE_ROOT
 
 LOG_FOLDER = "_delta_log"
@@ -154,25 +152,3 @@ def list_log_files(tables: DataFrame, tasks: int | None = None) -> DataFrame:
         .filter(~F.coalesce("is_directory", F.lit(False)))
         .select("item_id", "table_path", F.col("name").alias("file_name"), "modified", "error")
     )
-
-
-def indexed_log_files(spark: SparkSession, root: str) -> DataFrame:
-    """The same rows through Spark's file index, for any storage Spark can read.
-
-    Only names and times are read, never contents.  Names starting with ``_`` or ``.`` and
-    empty files are not seen, and the driver holds the index: list one item, or a few, per
-    call.  Item ids are the folder names directly under ``root``.
-    """
-    files = spark.read.format("binaryFile").load(
-        f"{root.rstrip('/')}/*/{TABLE_ROOT}/*/*/{LOG_FOLDER}"
-    )
-    parts = F.split("path", "/")
-    piece = {"item_id": -6, "schema": -4, "table": -3}
-    part = {name: F.element_at(parts, at) for name, at in piece.items()}
-    return files.select(
-        part["item_id"].alias("item_id"),
-        F.concat_ws("/", F.lit(TABLE_ROOT), part["schema"], part["table"]).alias("table_path"),
-        last_segment(F.col("path")).alias("file_name"),
-        utc_wall_time(F.col("modificationTime")).alias("modified"),
-        F.lit(None).cast("string").alias("error"),
-    )

@@ -8,7 +8,6 @@ from pyspark.cloudpickle import dumps
 
 from tarnkeep.sources.folders import (
     _scanner,
-    indexed_log_files,
     list_log_files,
     list_tables,
 )
@@ -86,18 +85,6 @@ def test_more_entries_than_one_batch(spark, tmp_path):
     assert found.count() == 25_001
 
 
-def test_index_listing_sees_plain_files(spark, tree):
-    found = indexed_log_files(spark, str(tree)).collect()
-    assert {(r.item_id, r.table_path, r.file_name) for r in found} == {
-        ("i1", "Tables/dbo/a", "0.json"),
-        ("i2", "Tables/s/b", "1.json"),
-    }
-    assert {r.modified for r in found} == {
-        datetime(1970, 1, 12, 13, 46, 40),
-        datetime(1970, 1, 12, 13, 46, 41),
-    }
-
-
 def test_a_vanished_entry_hides_no_other(spark, tmp_path):
     folder = tmp_path / "item" / "Tables" / "s" / "t" / "_delta_log"
     folder.mkdir(parents=True)

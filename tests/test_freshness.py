@@ -1,11 +1,19 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from tarnkeep.operators.freshness import latest_log_file, table_lines, warehouse_lines
-from tarnkeep.plans.freshness import freshness, log_freshness, warehouse_targets
+from tarnkeep.operators.freshness import advance_latest, latest_log_file, table_lines, warehouse_lines
+from tarnkeep.plans.freshness import (
+    freshness,
+    freshness_incremental,
+    log_freshness,
+    seen_until,
+    warehouse_targets,
+)
 from tarnkeep.sinks.log_tables import append_log, jdbc_options, not_yet_logged
+from tarnkeep.sinks.targets import PathTarget
 
 NOW = datetime(2024, 5, 1, 12)
 WORKSPACES = [
@@ -239,3 +247,48 @@ def test_jdbc_options():
         "numPartitions": "4",
         "batchsize": "10000",
     }
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_any_split_of_the_files_gives_the_full_state(spark, seed):
+    pick = random.Random(seed)
+    kinds = "item_id int, table_path string, file_name string, modified timestamp_ntz, error string"
+    start = datetime(2024, 1, 1)
+    rows = [
+        (pick.randint(0, 2), pick.choice("ab"), f"{pick.randint(0, 9)}.json", start + timedelta(hours=pick.randint(0, 3)), None)
+        for _ in range(60)
+    ]
+    rows += [(0, "a", None, None, "not readable"), (5, "c", None, None, "not readable")]
+    keys = ["item_id", "table_path"]
+    whole = latest_log_file(spark.createDataFrame(rows, kinds), keys).select(*keys, "latest_file", "latest_ts")
+    expected = sorted(map(tuple, whole.filter("latest_ts IS NOT NULL").collect()))
+    state = whole.limit(0)
+    pick.shuffle(rows)
+    parts = [rows[:7], rows[7:7], rows[5:40], rows[40:]]
+    for part in parts:
+        held = advance_latest(state, spark.createDataFrame(part, kinds), keys).collect()
+        state = spark.createDataFrame(held, whole.schema)
+    assert sorted(map(tuple, state.collect())) == expected
+
+
+def test_incremental_runs_equal_one_full_run(spark, tmp_path):
+    kinds = "item_id int, table_path string, file_name string, modified timestamp_ntz, error string"
+    targets = spark.createDataFrame([(1, "WS", "one"), (2, "WS", "two")], "item_id int, workspace_name string, item_name string")
+    tables = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "item_id int, table_path string")
+    day = datetime(2024, 1, 1)
+    runs = [
+        [(1, "a", "1", day, None), (1, "b", None, None, "denied")],
+        [],
+        [(1, "a", "0", day, None), (1, "b", "5", day + timedelta(hours=30), None), (9, "z", "1", day, None)],
+    ]
+    state = PathTarget(str(tmp_path / "state"))
+    now = day + timedelta(hours=36)
+    assert seen_until(state, spark) is None
+    for files in runs:
+        got = freshness_incremental(targets, tables, spark.createDataFrame(files, kinds), state, now)
+    every = spark.createDataFrame([f for files in runs for f in files if f[2]], kinds)
+    for one, other in zip(got, freshness(targets, tables, every, now), strict=True):
+        assert sorted(map(str, one.collect())) == sorted(map(str, other.collect()))
+    assert seen_until(state, spark) == day + timedelta(hours=30)
+    errors = freshness_incremental(targets, tables, spark.createDataFrame(runs[0], kinds), state, now)[0]
+    assert {r.TablePath: r.ErrorMessage for r in errors.collect()} == {"a": None, "b": "denied", "c": None}

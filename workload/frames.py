@@ -20,6 +20,7 @@ THRESHOLD = 24.0
 EVENTS_THRESHOLD = 48.0
 PAGES_NOW = "2024-01-02 00:00:18"
 PAGES_THRESHOLD = 22.0
+PAGES_SINCE = "2024-01-01 00:10:00"
 RETURNS_FROM_KEY = 1_000_000_000
 
 

@@ -93,6 +93,12 @@ _RESTATED = """
          'RESTATED' AS o_orderpriority
   FROM lineitem GROUP BY 1"""
 
+_MERGED = f"""
+  SELECT * FROM ({_RESTATED})
+  UNION ALL
+  SELECT * FROM orders o
+  WHERE NOT EXISTS (SELECT 1 FROM ({_RESTATED}) r WHERE r.o_orderkey = o.o_orderkey)"""
+
 _FINAL_LINE_STATE = """
   SELECT l_orderkey, state FROM (
     SELECT l_orderkey, l_shipdate, l_linenumber,
@@ -154,6 +160,18 @@ _PAGE_AGES = f"""
   UNION ALL
   SELECT DISTINCT 'gone.' || item_id, NULL, NULL, NULL, NULL FROM ({_PAGE_LOGS})"""
 
+_MOUNT_SUMMARY = f"""
+  SELECT {_PAGES_NOW} AS "RunTs", 'WS_PAGES' AS "WorkspaceName", item_id AS "WarehouseName",
+         count(*)::INTEGER AS "TotalTables", count(*)::INTEGER AS "TablesWithDeltaLog",
+         count(CASE WHEN age > 22 THEN 1 END)::INTEGER AS "StaleTables",
+         max(ts) AS "LatestDeltaLogTs", min(ts) AS "OldestDeltaLogTs",
+         CAST(printf('%.2f', max(age)) AS DOUBLE) AS "MaxAgeHours",
+         CAST(printf('%.2f', min(age)) AS DOUBLE) AS "MinAgeHours",
+         CAST(22 AS DOUBLE) AS "ThresholdHours", min(age) > 22 AS "IsPublishingBroken"
+  FROM (SELECT item_id, table_path, max(modified) AS ts, {_age('max(modified)', _PAGES_NOW)} AS age
+        FROM ({_PAGE_LOGS}) GROUP BY ALL)
+  GROUP BY item_id"""
+
 _RUN_LOG = f"""
   SELECT {_LOG_COLUMNS}, 'Starting' AS "Status", 'N/A' AS "BatchId", false AS "IsDryRun"
   FROM ({_ENDPOINTS})
@@ -201,17 +219,11 @@ ORACLES: dict[str, str] = {
                     WHEN p_size <= 40 THEN 'ProcessDB' || p_size END AS db
         FROM part)""",
     "log_file_listing": _PAGE_LOGS,
-    "freshness_on_mount": f"""
-  SELECT {_PAGES_NOW} AS "RunTs", 'WS_PAGES' AS "WorkspaceName", item_id AS "WarehouseName",
-         count(*)::INTEGER AS "TotalTables", count(*)::INTEGER AS "TablesWithDeltaLog",
-         count(CASE WHEN age > 22 THEN 1 END)::INTEGER AS "StaleTables",
-         max(ts) AS "LatestDeltaLogTs", min(ts) AS "OldestDeltaLogTs",
-         CAST(printf('%.2f', max(age)) AS DOUBLE) AS "MaxAgeHours",
-         CAST(printf('%.2f', min(age)) AS DOUBLE) AS "MinAgeHours",
-         CAST(22 AS DOUBLE) AS "ThresholdHours", min(age) > 22 AS "IsPublishingBroken"
-  FROM (SELECT item_id, table_path, max(modified) AS ts, {_age('max(modified)', _PAGES_NOW)} AS age
-        FROM ({_PAGE_LOGS}) GROUP BY ALL)
-  GROUP BY item_id""",
+    "log_file_store": _PAGE_LOGS,
+    "log_files_since": f"SELECT * FROM ({_PAGE_LOGS}) WHERE modified >= TIMESTAMP '2024-01-01 00:10:00'",
+    "freshness_on_store": _MOUNT_SUMMARY,
+    "freshness_in_runs": _DETAIL,
+    "freshness_on_mount": _MOUNT_SUMMARY,
     "freshness_on_mount_detail": f"""
   SELECT {_PAGES_NOW} AS "RunTs", 'WS_PAGES' AS "WorkspaceName", item_id AS "WarehouseName",
          table_path AS "TablePath", file AS "LatestLogFile", ts AS "LatestLogTs",
@@ -241,11 +253,8 @@ ORACLES: dict[str, str] = {
   FROM (SELECT (SELECT count(*) FROM ({_RESTATED})) AS n, (SELECT count(*) FROM orders) AS m)""",
     "load_append": f"SELECT * FROM orders UNION ALL {_RESTATED}",
     "load_full": _RESTATED,
-    "load_merge": f"""
-  SELECT * FROM ({_RESTATED})
-  UNION ALL
-  SELECT * FROM orders o
-  WHERE NOT EXISTS (SELECT 1 FROM ({_RESTATED}) r WHERE r.o_orderkey = o.o_orderkey)""",
+    "load_merge": _MERGED,
+    "load_merge_buckets": _MERGED,
     "load_merge_first": _RESTATED,
     "load_merge_partitions": """
   SELECT * REPLACE (
@@ -306,6 +315,7 @@ ORACLES: dict[str, str] = {
     "sync_outcomes": _OUTCOMES,
     "run_log_rows": _RUN_LOG,
     "run_log_append": _RUN_LOG,
+    "run_log_once": _RUN_LOG,
     "run_log_dry_run": f"""
   SELECT {_LOG_COLUMNS}, unnest(['Starting', 'DRY_RUN_SUCCESS']) AS "Status",
          'N/A' AS "BatchId", true AS "IsDryRun"

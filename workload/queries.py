@@ -14,16 +14,24 @@ from tarnkeep.functions.ages import ntz
 from tarnkeep.functions.names import WAREHOUSE_NAME, WAREHOUSE_TYPE, env_suffix
 from tarnkeep.operators import drift, freshness, guards, inventory, runs
 from tarnkeep.plans.freshness import freshness as freshness_run
-from tarnkeep.plans.freshness import freshness_on_mount, warehouse_targets
+from tarnkeep.plans.freshness import (
+    freshness_incremental,
+    freshness_on_mount,
+    freshness_on_store,
+    warehouse_targets,
+)
 from tarnkeep.plans.gated_etl import gated_etl
 from tarnkeep.plans.load import load
 from tarnkeep.plans.sync_log import sync_log, sync_targets
+from tarnkeep.sinks.bucketed import BucketedTarget
 from tarnkeep.sinks.log_tables import append_log
+from tarnkeep.sinks.run_log import append_run, read_run_log
 from tarnkeep.sinks.targets import PathTarget, TableTarget
 from tarnkeep.sources.csv_files import raw_csv, typed_csv
 from tarnkeep.sources.folders import list_log_files, list_tables
 from tarnkeep.sources.registry import SchemaRegistry
 from tarnkeep.sources.service_lists import items_from, workspaces_from
+from tarnkeep.sources.store_listing import store_log_files
 from tarnkeep.sources.tables import tables_from_paths
 from tarnkeep.storage import shared_folder
 from workload import frames
@@ -202,6 +210,43 @@ def log_file_listing(spark, sf_dir):
     return list_log_files(list_tables(items)).drop("error")
 
 
+def log_file_store(spark, sf_dir):
+    """The same files through the data source, which needs no mount."""
+    root, _ = _page_tree(spark, sf_dir)
+    return store_log_files(spark, root).drop("error", "size")
+
+
+def log_files_since(spark, sf_dir):
+    """Files from a time on; the condition is applied where they are listed."""
+    root, _ = _page_tree(spark, sf_dir)
+    recent = store_log_files(spark, root).filter(F.col("modified") >= ntz(frames.PAGES_SINCE))
+    return recent.drop("error", "size")
+
+
+def freshness_stored(spark, sf_dir):
+    """Summary of a run that lists the tree through the data source."""
+    root, pages = _page_tree(spark, sf_dir)
+    targets = pages.select(
+        "item_id", F.lit("WS_PAGES").alias("workspace_name"), F.col("item_id").alias("item_name")
+    ).distinct()
+    return freshness_on_store(targets, root, frames.PAGES_NOW, frames.PAGES_THRESHOLD)[1]
+
+
+def freshness_in_runs(spark, sf_dir):
+    """Detail after three runs, each of which sees a part of the files; some are seen twice."""
+    targets = warehouse_targets(
+        frames.region_workspaces(spark, sf_dir), frames.warehouse_items(spark, sf_dir), REGIONS, "_DEV"
+    )
+    tables, files = frames.order_tables(spark, sf_dir), frames.line_files(spark, sf_dir)
+    state = PathTarget(shared_folder(spark, "freshness-state"))
+    part = F.pmod(F.xxhash64("file_name", "modified"), F.lit(4))
+    for seen in ((3,), (0, 3), (1, 2)):
+        detail, _ = freshness_incremental(
+            targets, tables, files.filter(part.isin(*seen)), state, frames.RUN_TS, frames.THRESHOLD, ["table_id"]
+        )
+    return detail
+
+
 def freshness_mounted(spark, sf_dir):
     """Summary of a run that lists the tree itself; the hosts are the warehouses."""
     root, pages = _page_tree(spark, sf_dir)
@@ -286,6 +331,15 @@ def load_merge_table(spark, sf_dir):
     return target.read(spark)
 
 
+def load_merge_buckets(spark, sf_dir):
+    """A merge into a table laid out by its key, of which the source touches some slots."""
+    folder = shared_folder(spark, "orders-buckets")
+    target = BucketedTarget(f"orders_{folder.rpartition('-')[2]}", "o_orderkey", slots=64, buckets=4)
+    target.append(table(spark, sf_dir, "orders"))
+    load(frames.restated_orders(spark, sf_dir), target, "merge", key="o_orderkey")
+    return target.read(spark)
+
+
 def load_full_proved(spark, sf_dir):
     """A full load whose stored content is compared with what was written."""
     target = _orders_target(spark, sf_dir)
@@ -449,6 +503,19 @@ def run_log_append(spark, sf_dir):
     return spark.read.parquet(log)
 
 
+def run_log_once(spark, sf_dir):
+    """Both parts of a run appended, one of them twice; the log has each once."""
+    entries = runs.as_run_log(run_log_rows(spark, sf_dir))
+    log = shared_folder(spark, "run-log")
+    for run, rows in (
+        ("starts", entries.filter("Status = 'Starting'")),
+        ("ends", entries.filter("Status <> 'Starting'")),
+        ("starts", entries.filter("Status = 'Starting'")),
+    ):
+        append_run(rows, log, run)
+    return read_run_log(spark, log, entries.schema).drop("run")
+
+
 def run_log_dry_run(spark, sf_dir):
     return _sync_log(spark, sf_dir, dry_run=True)
 
@@ -472,6 +539,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_inventory": table_inventory,
     "pick_monitor_db": pick_monitor_db,
     "log_file_listing": log_file_listing,
+    "log_file_store": log_file_store,
+    "log_files_since": log_files_since,
+    "freshness_on_store": freshness_stored,
+    "freshness_in_runs": freshness_in_runs,
     "freshness_on_mount": freshness_mounted,
     "freshness_on_mount_detail": freshness_mounted_detail,
     "target_scan_counts": target_scan_counts,
@@ -483,6 +554,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_merge": load_merge,
     "load_merge_first": load_merge_first,
     "load_merge_table": load_merge_table,
+    "load_merge_buckets": load_merge_buckets,
     "load_full_proved": load_full_proved,
     "load_merge_partitions": load_merge_partitions,
     "load_merge_text_partitions": load_merge_text_partitions,
@@ -499,6 +571,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sync_outcomes": sync_outcomes,
     "run_log_rows": run_log_rows,
     "run_log_append": run_log_append,
+    "run_log_once": run_log_once,
     "run_log_dry_run": run_log_dry_run,
     "sync_latest_status": sync_latest_status,
 }

@@ -61,6 +61,8 @@ def load(
         raise ValueError("a merge needs a key")
     if on_duplicate not in ("raise", "last") or (on_duplicate == "last" and not order_by):
         raise ValueError("on_duplicate is 'raise', or 'last' together with order_by")
+    if strategy == "merge" and isinstance(target, BucketedTarget) and key != target.key:
+        raise ValueError(f"{target.name} is laid out by {target.key}, so it is merged by that")
     if check not in ("rows", "content"):
         raise ValueError("check is 'rows' or 'content'")
 
@@ -178,8 +180,6 @@ def _merge_stored(source, target, proof, before, key, on_duplicate, order_by):
     required = keys.distinct_keys + keys.null_keys
 
     if isinstance(target, BucketedTarget):
-        if key != target.key:
-            raise ValueError(f"{target.name} is laid out by {target.key}, so it is merged by that")
         target.merge_rows(source)
         return keys.source_rows, None, required
     if isinstance(target, TableTarget) and target.transactional:

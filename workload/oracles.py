@@ -272,6 +272,9 @@ ORACLES: dict[str, str] = {
   FROM orders""",
     "csv_typed_scan": "SELECT * FROM orders",
     "csv_raw_scan": _ORDERS_TEXT,
+    "csv_multi_line_scan": """
+  SELECT * REPLACE ('a "note",' || chr(10) || chr(10) || 'for ' || o_orderpriority AS o_orderpriority)
+  FROM orders""",
     "schema_fields": """
   SELECT position::INTEGER AS position, column_name, type_text, true AS nullable
   FROM (VALUES (0, 'o_orderkey', 'LongType()'), (1, 'o_custkey', 'LongType()'),

@@ -391,6 +391,15 @@ def csv_raw_scan(spark, sf_dir):
     return raw_csv(spark, _orders_csv(spark, sf_dir))
 
 
+def csv_multi_line_scan(spark, sf_dir):
+    """Orders with line breaks, quotes and separators in quotes, cut into records by all tasks."""
+    path = shared_folder(spark, "orders-csv")
+    noted = F.concat(F.lit('a "note",\n\nfor '), "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").withColumn("o_orderpriority", noted)
+    orders.write.option("header", True).option("escape", '"').csv(path)
+    return typed_csv(spark, path, multi_line=True).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+
+
 def schema_fields(spark, sf_dir):
     """Schema inferred from all rows of a CSV file."""
     return drift.schema_fields(spark, typed_csv(spark, _orders_csv(spark, sf_dir)).schema)
@@ -560,6 +569,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_merge_text_partitions": load_merge_text_partitions,
     "csv_typed_scan": csv_typed_scan,
     "csv_raw_scan": csv_raw_scan,
+    "csv_multi_line_scan": csv_multi_line_scan,
     "schema_fields": schema_fields,
     "schema_drift": schema_drift,
     "schema_approval_state": schema_approval_state,

@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 
 _STRICT = {"columnNameOfCorruptRecord": "unreadable", "allowSingleQuotes": "false"}
 
-DATABASE_LIST = (
-    "value array<struct<displayName:string,"
-    "properties:struct<serverFqdn:string,databaseName:string>>>"
-)
-
-
 def reply_object(body: Column, field: str) -> Column:
     """Struct with one ``variant`` field, or null if ``body`` is not one JSON object.
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from tarnkeep.functions.casts import strict_cast
 
+PATHS = "path string, parent string, type_text string"
 FIELDS = "position int, column_name string, type_text string, nullable boolean"
 
 # File names in a schema registry.
@@ -45,6 +48,62 @@ def schema_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def _paths(kind: DataType, path: str, parent: str | None, nullable: bool) -> Iterator[tuple]:
+    """The path, its parent, and the type of ``kind`` and of all that it holds.
+
+    What holds others is named by its kind alone, since they have rows of their own.  Within others a place that
+    must not be null says so, as the text of a whole type would.
+    """
+    needed = "" if parent is None or nullable else " not null"
+    if isinstance(kind, StructType):
+        text = "struct"
+        inner = [(f.dataType, f"{path}.{f.name}", f.nullable) for f in {f.name: f for f in kind}.values()]
+    elif isinstance(kind, ArrayType):
+        text, inner = "array", [(kind.elementType, f"{path}[]", kind.containsNull)]
+    elif isinstance(kind, MapType):
+        text = "map"
+        inner = [(kind.keyType, f"{path}{{key}}", False), (kind.valueType, f"{path}{{value}}", kind.valueContainsNull)]
+    else:
+        text, inner = str(kind), []
+    yield path, parent, text + needed
+    for one, at, may_be_null in inner:
+        yield from _paths(one, at, path, may_be_null)
+
+
+def schema_paths(spark: SparkSession, schema: StructType) -> DataFrame:
+    """One row per column and per place within it: ``a``, ``a.b`` in a struct, ``a[]`` in an array, ``a{key}`` and
+    ``a{value}`` in a map; of repeated names the last one counts."""
+    columns = {field.name: field for field in schema}.values()
+    rows = [row for f in columns for row in _paths(f.dataType, f.name, None, True)]
+    return spark.createDataFrame(rows, PATHS)
+
+
+def path_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """All differences between two lists of paths, as :func:`schema_drift` gives those of columns.
+
+    A place is reported where its parent is in both lists and of the same kind: of a struct that is missing or has become
+    a text there is one row, and of a struct with one renamed field a missing and an unexpected one.
+    """
+    both = expected.alias("e").join(actual.alias("a"), "path", "full")
+    different = both.select(
+        "path",
+        F.coalesce("e.parent", "a.parent").alias("parent"),
+        F.col("e.type_text").alias("expected"),
+        F.col("a.type_text").alias("actual"),
+    ).filter(~F.equal_null("expected", "actual"))
+    reported = different.select(F.col("path").alias("above"), F.col("expected").alias("e"), F.col("actual").alias("a"))
+    # The same kind with another nullness still holds the same places.
+    kinds = [F.regexp_replace(F.coalesce(side, F.lit("")), " not null$", "") for side in ("e", "a")]
+    reported = reported.filter(kinds[0] != kinds[1]).select("above")
+    topmost = different.join(reported, different["parent"] == reported["above"], "left_anti")
+    kind = (
+        F.when(F.col("actual").isNull(), "missing").when(F.col("expected").isNull(), "unexpected").otherwise("type")
+    )
+    return topmost.select(F.col("path").alias("column_name"), kind.alias("kind"), "expected", "actual").orderBy(
+        "kind", "column_name"
+    )
+
+
 def cast_to(frame: DataFrame, schema: StructType) -> DataFrame:
     """Columns by name, cast to the approved types, in the approved order.
 

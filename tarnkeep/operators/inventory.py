@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnkeep.functions.names import env_suffix, matches, workspace_pattern
-from tarnkeep.functions.payloads import DATABASE_LIST
+from tarnkeep.functions.payloads import text_or
 
 
 def current_suffix(workspaces: DataFrame, workspace_id) -> DataFrame:
@@ -57,22 +57,25 @@ def target_counts(workspaces: DataFrame, targets: DataFrame) -> DataFrame:
 def pick_monitor_db(payloads: DataFrame, prefix: str = "ProcessDB") -> DataFrame:
     """First database of each reply whose name has the prefix and no underscore.
 
-    ``payloads`` has ``workspace_id`` and the reply ``body``.  Replies without such a
-    database keep their row with nulls.  The list order inside the reply decides, so the
-    choice stays inside the row and needs no shuffle.
+    ``payloads`` has ``workspace_id`` and the reply ``body``.  Replies without such a database, or that are
+    not JSON, keep their row with nulls.  A database without an address has an empty ``server``; one whose
+    address, name or properties are a JSON null, or of another kind than text, has a null there.  The list order
+    inside the reply decides, so the choice stays inside the row and needs no shuffle.
     """
-    replies = F.from_json("body", DATABASE_LIST)
 
     def eligible(database):
-        name = database["displayName"]
+        name = F.try_variant_get(database, "$.displayName", "string")
         return F.startswith(name, F.lit(prefix)) & ~F.contains(name, F.lit("_"))
 
-    first = F.get(F.filter(replies["value"], eligible), F.lit(0))
+    listed = F.try_variant_get(F.try_parse_json("body"), "$.value", "array<variant>")
+    first = F.get(F.filter(listed, eligible), F.lit(0))
     picked = payloads.select("workspace_id", first.alias("db"))
-    host = F.coalesce("db.properties.serverFqdn", F.lit(""))
+    properties = F.try_variant_get("db", "$.properties", "variant")
+    host = text_or(F.try_variant_get("db", "$.properties.serverFqdn", "variant"), "")
+    known = F.col("db").isNotNull() & ~F.coalesce(F.is_variant_null(properties), F.lit(False))
     return picked.select(
         "workspace_id",
-        F.col("db.displayName").alias("display_name"),
-        F.when(F.col("db").isNotNull(), F.replace(host, F.lit(","), F.lit(":"))).alias("server"),
-        F.col("db.properties.databaseName").alias("database_name"),
+        F.try_variant_get("db", "$.displayName", "string").alias("display_name"),
+        F.when(known, F.replace(host, F.lit(","), F.lit(":"))).alias("server"),
+        F.try_variant_get("db", "$.properties.databaseName", "string").alias("database_name"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tarnkeep.operators.drift import cast_to, schema_drift, schema_fields
+from tarnkeep.operators.drift import cast_to, path_drift, schema_paths
 from tarnkeep.sinks.targets import PathTarget, TableTarget
 from tarnkeep.sources.csv_files import raw_csv
 from tarnkeep.sources.registry import SchemaMissing, SchemaRegistry
@@ -27,8 +27,8 @@ def check_schema(frame: DataFrame, approved: StructType, mode: str = "strict") -
     if mode == "names":
         expected, incoming = _names_only(expected), _names_only(incoming)
     spark = frame.sparkSession
-    drift = schema_drift(schema_fields(spark, expected), schema_fields(spark, incoming))
-    found = drift.collect()  # at most one row per column
+    drift = path_drift(schema_paths(spark, expected), schema_paths(spark, incoming))
+    found = drift.collect()  # at most one row per column or place within it
     if found:
         lines = [
             f"  {row.kind}: {row.column_name} (expected {row.expected}, actual {row.actual})"

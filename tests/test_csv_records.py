@@ -55,7 +55,7 @@ def test_states_of_lines():
         ('"a""', True, False),
         ('x",y', False, False),
         ('a,"b', True, False),
-        ('5" pipe,"x', True, False),
+        ('5" pipe,"x', True, True),
         ('"",""', False, False),
         ('""",', True, False),
         ('a","b","c', False, True),

@@ -9,9 +9,11 @@ from tarnkeep.operators.drift import (
     APPROVED_ENDING,
     approval_states,
     cast_to,
+    path_drift,
     rejected_rows,
     schema_drift,
     schema_fields,
+    schema_paths,
 )
 from tarnkeep.operators.merge import conform
 from tarnkeep.plans.gated_etl import SchemaDrift, check_schema, gated_etl
@@ -256,3 +258,32 @@ def test_wide_schema_cast_keeps_odd_names(spark):
     assert tuple(row) == (2, 1)
     assert rejected_rows(frame, frame.schema).count() == 0
     assert frame.select(F.col("`a.b`")).count() == 1
+
+
+def paths_between(spark, expected, actual):
+    lists = [schema_paths(spark, StructType.fromDDL(ddl)) for ddl in (expected, actual)]
+    return [(r.column_name, r.kind, r.expected, r.actual) for r in path_drift(*lists).collect()]
+
+
+def test_drift_by_path(spark):
+    nested = "a struct<b: int, c: array<struct<d: date, e: map<string, int>>>>, f int"
+    assert paths_between(spark, nested, nested) == []
+    renamed = nested.replace("d: date", "x: date")
+    assert paths_between(spark, nested, renamed) == [
+        ("a.c[].d", "missing", "DateType()", None),
+        ("a.c[].x", "unexpected", None, "DateType()"),
+    ]
+    for changed, expected in (
+        (nested.replace("map<string, int>", "map<string, string>"), [("a.c[].e{value}", "type", "IntegerType()", "StringType()")]),
+        (nested.replace("array<struct<d: date, e: map<string, int>>>", "string"), [("a.c", "type", "array", "StringType()")]),
+        ("f int", [("a", "missing", "struct", None)]),
+        (nested.replace("b: int", "b: int not null"), [("a.b", "type", "IntegerType()", "IntegerType() not null")]),
+        ("f string, a struct<b: int>", [("a.c", "missing", "array", None), ("f", "type", "IntegerType()", "StringType()")]),
+    ):
+        assert paths_between(spark, nested, changed) == expected
+
+
+def test_the_strict_gate_names_the_inner_field(spark):
+    frame = spark.sql("SELECT named_struct('x', 1) AS a")
+    with pytest.raises(SchemaDrift, match=r"missing: a\.y .*\n  unexpected: a\.x"):
+        check_schema(frame, StructType.fromDDL("a struct<y: int not null>"), "strict")

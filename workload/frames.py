@@ -155,6 +155,25 @@ def page_logs(spark, sf_dir):
     )
 
 
+def odd_database_replies(spark, sf_dir):
+    """One database per part; the kind of its reply goes by the part's size."""
+    name = F.concat(F.lit('"displayName":"ProcessDB'), "p_partkey", F.lit('"'))
+    bodies = {
+        0: F.concat(F.lit('{"value":[{'), name, F.lit(',"properties":{"serverFqdn":null,"databaseName":null}}]}')),
+        1: F.concat(F.lit('{"value":[{'), name, F.lit(',"properties":{"databaseName":"db"}}]}')),
+        2: F.concat(F.lit('{"value":[{'), name, F.lit(',"properties":null}]}')),
+        3: F.concat(F.lit('{"value":[{'), name, F.lit("}]}")),
+        4: F.concat(F.lit('{"value":[{"displayName":null},{"displayName":{"a":1}},7,{'), name, F.lit(',"properties":{"serverFqdn":{"a":1}}}]}')),
+        5: F.lit('{"value":null}'),
+        6: F.lit("<html>"),
+        7: F.concat(F.lit('{"value":[{'), name, F.lit(',"properties":{"serverFqdn":"a,1","databaseName":"db"}}],"more":[1]}')),
+    }
+    body = F.lit(None).cast("string")
+    for kind, text in bodies.items():
+        body = F.when(F.col("p_size") % 8 == kind, text).otherwise(body)
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("workspace_id"), body.alias("body"))
+
+
 def database_replies(spark, sf_dir):
     def database(name, fqdn):
         properties = F.struct(fqdn.alias("serverFqdn"), name.alias("databaseName"))

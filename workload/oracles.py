@@ -10,6 +10,13 @@ def _age(ts: str, now: str) -> str:
     return f"((epoch_us({now}) - epoch_us({ts})) / 1e6 / 3600.0)"
 
 
+def _spark_type(timestamp: str) -> str:
+    """Spark's name for a type that DESCRIBE tells; times have a zone or not, as the reader gives them."""
+    return f"""CASE column_type WHEN 'BIGINT' THEN 'LongType()' WHEN 'INTEGER' THEN 'IntegerType()'
+             WHEN 'DOUBLE' THEN 'DoubleType()' WHEN 'VARCHAR' THEN 'StringType()'
+             WHEN 'TIMESTAMP' THEN '{timestamp}' END"""
+
+
 _CUSTOMER_WORKSPACES = """
   SELECT c_custkey AS workspace_id,
          CASE WHEN c_acctbal < 0 THEN c_name
@@ -218,6 +225,11 @@ ORACLES: dict[str, str] = {
                CASE WHEN p_type IN ('ECONOMY', 'PROMO') THEN 'ProcessDB' || p_partkey
                     WHEN p_size <= 40 THEN 'ProcessDB' || p_size END AS db
         FROM part)""",
+    "pick_monitor_db_nulls": """
+  SELECT p_partkey AS workspace_id, CASE WHEN kind NOT IN (5, 6) THEN 'ProcessDB' || p_partkey END AS display_name,
+         CASE WHEN kind IN (1, 3) THEN '' WHEN kind = 4 THEN '{"a":1}' WHEN kind = 7 THEN 'a:1' END AS server,
+         CASE WHEN kind IN (1, 7) THEN 'db' END AS database_name
+  FROM (SELECT p_partkey, p_size % 8 AS kind FROM part)""",
     "log_file_listing": _PAGE_LOGS,
     "log_file_store": _PAGE_LOGS,
     "log_files_since": f"SELECT * FROM ({_PAGE_LOGS}) WHERE modified >= TIMESTAMP '2024-01-01 00:10:00'",
@@ -275,17 +287,26 @@ ORACLES: dict[str, str] = {
     "csv_multi_line_scan": """
   SELECT * REPLACE ('a "note",' || chr(10) || chr(10) || 'for ' || o_orderpriority AS o_orderpriority)
   FROM orders""",
-    "schema_fields": """
-  SELECT position::INTEGER AS position, column_name, type_text, true AS nullable
-  FROM (VALUES (0, 'o_orderkey', 'LongType()'), (1, 'o_custkey', 'LongType()'),
-               (2, 'o_orderstatus', 'StringType()'), (3, 'o_totalprice', 'DoubleType()'),
-               (4, 'o_orderdate', 'TimestampType()'), (5, 'o_orderpriority', 'StringType()'))
-       AS fields(position, column_name, type_text)""",
-    "schema_drift": """
-  SELECT * FROM (VALUES ('o_orderdate', 'type', 'TimestampNTZType()', 'TimestampType()'),
-                        ('o_orderpriority', 'missing', 'StringType()', NULL),
-                        ('o_priority', 'unexpected', NULL, 'StringType()'))
-       AS drift(column_name, kind, expected, actual)""",
+    "schema_fields": f"""
+  SELECT (row_number() OVER () - 1)::INTEGER AS position, column_name,
+         {_spark_type('TimestampType()')} AS type_text, true AS nullable
+  FROM (DESCRIBE orders)""",
+    "schema_drift": f"""
+  SELECT CASE WHEN renamed AND seen THEN 'o_priority' ELSE column_name END AS column_name,
+         CASE WHEN NOT renamed THEN 'type' WHEN seen THEN 'unexpected' ELSE 'missing' END AS kind,
+         CASE WHEN NOT (renamed AND seen) THEN {_spark_type('TimestampNTZType()')} END AS expected,
+         CASE WHEN seen OR NOT renamed THEN {_spark_type('TimestampType()')} END AS actual
+  FROM (SELECT *, column_name = 'o_orderpriority' AS renamed, unnest([true, false]) AS seen FROM (DESCRIBE orders))
+  WHERE renamed OR (column_type = 'TIMESTAMP' AND seen)""",
+    "schema_path_drift": f"""
+  SELECT place || replace(column_name, 'l_tax', CASE WHEN kind = 'unexpected' THEN 'l_vat' ELSE 'l_tax' END) AS column_name,
+         kind, CASE WHEN kind <> 'unexpected' THEN {_spark_type('TimestampNTZType()')} END AS expected,
+         CASE kind WHEN 'type' THEN 'StringType()' WHEN 'unexpected' THEN {_spark_type('TimestampNTZType()')} END AS actual
+  FROM (SELECT *, unnest(CASE column_name WHEN 'l_tax' THEN ['missing', 'unexpected'] WHEN 'l_quantity' THEN ['type'] END) AS kind
+        FROM (DESCRIBE lineitem))
+  CROSS JOIN (VALUES ('lines[].'), ('by_number{{value}}.')) AS places(place)
+  UNION ALL
+  SELECT 'extra', 'missing', 'struct', NULL""",
     "schema_approval_state": """
   SELECT 'crm' AS schema_name, 't' || c_custkey AS table_name,
          CASE WHEN bool_or(o_totalprice > 480000) THEN 'approved'

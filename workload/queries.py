@@ -162,6 +162,11 @@ def pick_monitor_db(spark, sf_dir):
     return inventory.pick_monitor_db(frames.database_replies(spark, sf_dir))
 
 
+def pick_monitor_db_nulls(spark, sf_dir):
+    """Replies with JSON nulls, absent and nested fields, and others that are no JSON."""
+    return inventory.pick_monitor_db(frames.odd_database_replies(spark, sf_dir))
+
+
 def _write_page_logs(root: str, bare: bool):
     """Task body: one log file per page, dated by its id; if ``bare``, also tables without a log."""
     epoch = datetime(1970, 1, 1)
@@ -414,6 +419,27 @@ def schema_drift(spark, sf_dir):
     )
 
 
+def schema_path_drift(spark, sf_dir):
+    """Line items nested in orders; a field renamed, one of another type, one gone with all that it holds."""
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+
+    def nested(line, *more):
+        whole = F.struct(*[F.col(name) for name in orders.columns]).alias("head")
+        return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+            whole, F.array(F.struct(*line)).alias("lines"), F.create_map("l_linenumber", F.struct(*line)).alias("by_number"), *more
+        )
+
+    plain = [F.col(name) for name in lines.columns]
+    changed = [
+        F.col(name).cast("string").alias(name) if name == "l_quantity" else F.col(name).alias(name.replace("l_tax", "l_vat"))
+        for name in lines.columns
+    ]
+    expected = nested(plain, F.struct(F.struct("l_tax").alias("inner")).alias("extra"))
+    return drift.path_drift(
+        drift.schema_paths(spark, expected.schema), drift.schema_paths(spark, nested(changed).schema)
+    )
+
+
 def schema_approval_state(spark, sf_dir):
     """Customers as tables, their orders as files of the registry."""
     tables = table(spark, sf_dir, "customer").select(
@@ -547,6 +573,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "target_counts": target_counts,
     "table_inventory": table_inventory,
     "pick_monitor_db": pick_monitor_db,
+    "pick_monitor_db_nulls": pick_monitor_db_nulls,
     "log_file_listing": log_file_listing,
     "log_file_store": log_file_store,
     "log_files_since": log_files_since,
@@ -572,6 +599,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_multi_line_scan": csv_multi_line_scan,
     "schema_fields": schema_fields,
     "schema_drift": schema_drift,
+    "schema_path_drift": schema_path_drift,
     "schema_approval_state": schema_approval_state,
     "schema_cast": schema_cast,
     "schema_rejects": schema_rejects,

@@ -262,7 +262,7 @@ def _solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(pa.Table.from_batches(held))
 
 
-def _seed(documents: DataFrame, identity: Column, content: Column) -> int:
+def telling_seed(documents: DataFrame, identity: Column, content: Column) -> int:
     """A seed under which the hash of the text tells apart all texts of one id."""
     seed = 0
     while True:
@@ -278,7 +278,7 @@ def _numbered(documents: DataFrame, key: str, text: str) -> DataFrame:
     """``key``, ``id`` and ``row``, which name a document and order it, and ``text``."""
     content = F.coalesce(F.col(text), F.lit(""))
     identity = F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
-    row = F.xxhash64(F.lit(_seed(documents, identity, content)), content)
+    row = F.xxhash64(F.lit(telling_seed(documents, identity, content)), content)
     return documents.select(F.col(key).alias("key"), identity.alias("id"), row.alias("row"), content.alias("text"))
 
 

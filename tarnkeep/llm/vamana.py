@@ -94,8 +94,9 @@ def robust_prune(
     candidates = np.unique(candidates[(candidates >= 0) & (candidates != own)])
     if not len(candidates):
         return candidates
-    around = points[candidates]
-    far = ((around - points[own]) ** 2).sum(axis=1)
+    # Seen from the point itself, so that products of coordinates are as small as the distances are.
+    around = points[candidates] - points[own]
+    far = (around * around).sum(axis=1)
     order = np.argsort(far, kind="stable")
     candidates, around, far = candidates[order], around[order], far[order]
     norms = (around * around).sum(axis=1)
@@ -119,8 +120,9 @@ def build(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, int]:
     """
     n = len(points)
     random = np.random.default_rng(seed)
-    middle = points.mean(axis=0)
-    start = int(((points - middle) ** 2).sum(axis=1).argmin())
+    # Distances come from products, which lose digits far from the origin.
+    points = points - points.mean(axis=0)
+    start = int((points**2).sum(axis=1).argmin())
     edges = np.full((n, ROOM), -1, dtype=np.int64)
     if n == 1:
         return edges, start
@@ -217,10 +219,12 @@ def _searched(k: int, beam: int):
         for i, row in enumerate(nodes["edges"]):
             edges[i, : len(row)] = row
         ids, names = nodes["ids"].tolist(), queries["id"].tolist()
+        middle = points.mean(axis=0)
+        centred = points - middle
         result: list[tuple[int, int, float]] = []
         for at in range(0, len(asked), BATCH):
             block = asked[at : at + BATCH]
-            found, _ = beam_search(points, edges, int(nodes["start"].iloc[0]), block, beam)
+            found, _ = beam_search(centred, edges, int(nodes["start"].iloc[0]), block - middle, beam)
             for own, query, near in zip(names[at : at + BATCH], block, found, strict=True):
                 near = near[near >= 0]
                 far = np.sqrt(((points[near] - query) ** 2).sum(axis=1))

@@ -291,3 +291,18 @@ def test_recall_over_several_shards(spark):
 
 def test_digest_of_nothing_is_stable():
     assert sha("") == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+@pytest.mark.parametrize("away", [1e6, 1e8, 1e11])
+def test_recall_far_from_the_origin(spark, away):
+    generator = np.random.default_rng(10)
+    points = [(i, (generator.normal(size=16) * 10 + away).tolist()) for i in range(2_000)]
+    frame = spark.createDataFrame(points, "vec_id long, embedding array<double>")
+    rows = vamana.nearest(frame, frame.filter("vec_id % 100 = 0"), shard_rows=1_000).collect()
+    values = np.array([v for _, v in points])
+    hits = 0
+    for query in range(0, 2_000, 100):
+        far = np.sqrt(((values - values[query]) ** 2).sum(axis=1))
+        far[query] = np.inf
+        hits += len({r.vec_id for r in rows if r.query_id == query} & set(np.argsort(far, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 200

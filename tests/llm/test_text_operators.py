@@ -1,6 +1,7 @@
 """Winnowing, circulant MinHash, suffix arrays and secrets against plain models on edge rows."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -197,6 +198,26 @@ def test_a_hot_passage_never_fills_one_suffix_array(spark, monkeypatch):
     assert _repeats(spark, rows) == sorted(expected, key=str)
 
 
+def test_repeats_tell_texts_of_null_ids_apart(spark):
+    """Two texts of one 32-bit hash, of which one loses what a document with an id has."""
+    passage = "".join(chr(97 + i * 7 % 26) for i in range(80))
+    texts = spark.range(250_000).select(F.concat(F.lit(passage), F.col("id").cast("string")).alias("a"))
+    texts = texts.withColumn("b", F.concat(F.lit("-"), F.reverse("a")))
+    both = texts.select(F.col("a").alias("t")).unionAll(texts.select("b"))
+    one, other = both.groupBy(F.hash("t").alias("h")).agg(F.collect_list("t").alias("t")).filter("size(t) > 1").first().t[:2]
+    rows = [(1, passage), (None, one), (None, other), (None, one)]
+    found = repeats.op8(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    expected = Counter()
+    for key, text in rows:
+        gone = set()
+        for i in range(len(text) - 49):
+            if key is None and text[i : i + 50] in passage:
+                gone.update(range(i, i + 50))
+        kept = "".join(c for i, c in enumerate(text) if i not in gone)
+        expected[key, len(text), len(gone), sha(kept)] += 1
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found) == expected
+
+
 def test_repeats_of_nothing(spark):
     assert _repeats(spark, []) == []
 

@@ -1,12 +1,14 @@
 """Sharding, raking, line dedup, quality, tokens and neighbours on edge rows and against models."""
 
+import math
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from llm.models import PROSE, edge_rows, edge_table, sha
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -306,3 +308,40 @@ def test_recall_far_from_the_origin(spark, away):
         far[query] = np.inf
         hits += len({r.vec_id for r in rows if r.query_id == query} & set(np.argsort(far, kind="stable")[:10].tolist()))
     assert hits >= 0.9 * 200
+
+
+def _plain_place(key, leaves):
+    """Region, rack and shard of a key, each level drawn by a plain computation of the same hash."""
+
+    def draw(level, weights):
+        def score(node):
+            seed = 42
+            for part in (level.encode(), node.to_bytes(4, "little"), key.encode()):
+                seed = xxhash.xxh64_intdigest(part, seed=seed)
+            return -math.log(((seed >> 11) + 0.5) / (1 << 53)) / weights[node]
+
+        return min(weights, key=lambda node: (score(node), node))
+
+    place, inside = [], [leaf for leaf in leaves if leaf.weight > 0]
+    for level in ("region", "rack", "shard"):
+        weights = defaultdict(float)
+        for leaf in inside:
+            weights[getattr(leaf, level)] += leaf.weight
+        place.append(draw(level, weights))
+        inside = [leaf for leaf in inside if getattr(leaf, level) == place[-1]]
+    return tuple(place)
+
+
+def test_places_equal_a_plain_descent(spark):
+    uneven = [hash_tree.Leaf(s // 6, s // 3, s, (s % 4) * 1.5) for s in range(18)]
+    rows = spark.range(-3, 400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
+    rows = rows.unionAll(spark.createDataFrame([(None, None)], "doc_id long, text string"))
+    for leaves in (hash_tree.layout(40), hash_tree.layout(41), uneven):
+        found = hash_tree.place(rows, F.col("doc_id"), leaves).collect()
+        for r in found:
+            key = "null" if r.doc_id is None else str(r.doc_id)
+            assert (r.region, r.rack, r.shard) == _plain_place(key, leaves), key
+    digest = {r.doc_id: (r.shard, r.grown_shard) for r in hash_tree.op6(rows).collect()}
+    for key, shards in digest.items():
+        text = "null" if key is None else str(key)
+        assert shards == tuple(_plain_place(text, hash_tree.layout(n))[2] for n in (40, 41))

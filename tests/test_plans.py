@@ -12,7 +12,7 @@ from workload import frames
 from workload.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.01"
-LISTS_FOLDERS = {"log_file_listing", "freshness_on_mount", "freshness_on_mount_detail"}
+LISTS_FOLDERS = {"log_file_listing", "freshness_on_mount", "freshness_on_mount_detail", "log_file_store", "log_files_since"}
 
 
 def plan(frame):

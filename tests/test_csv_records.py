@@ -56,9 +56,9 @@ def test_states_of_lines():
         ('x",y', False, False),
         ('a,"b', True, False),
         ('5" pipe,"x', True, True),
-        ('"",""', False, False),
+        ('"",""', False, True),
         ('""",', True, False),
-        ('a","b","c', False, True),
+        ('a","b","c', True, True),
     ):
         assert (ends(line, False), ends(line, True)) == (outside, inside), line
 

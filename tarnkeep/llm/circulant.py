@@ -10,8 +10,9 @@ Documents with equal sets are one node.  A node first meets the pivots of its ba
 is the node with the least hash, so that most bands of a group have the same one.  Rounds of other
 pivots follow, those whose pairs were confirmed most often, like the original of many edited copies,
 while they find enough links.  Pairs within a component, whose links could not change the
-components, are not looked at.  The pairs that are open in the end are all confirmed or refuted: for
-most a pivot is enough, since Jaccard distances obey the triangle inequality, and two sets whose
+components, are not looked at.  The pairs that are open in the end are all confirmed or refuted: nodes
+that share none of their rarest shingles cannot be similar enough and are never paired.  For many
+others a pivot is enough, since Jaccard distances obey the triangle inequality, and two sets whose
 distances to it differ by more than the allowed distance are refuted by that.
 """
 
@@ -36,6 +37,8 @@ PERCENT = 80
 BANDS, ROWS = 40, 6
 #: A round of pivots is followed by another one if it confirms this share of its pairs.
 FRUITFUL = 0.05
+#: Counters of the table that orders shingles by how rare they are (8 MB).
+COUNTERS = 1 << 20
 #: Places on the circle.  Collisions of places only blur the candidates, not the confirmation.
 PLACES = 1 << 20
 SEED = 20240501
@@ -250,7 +253,7 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
             near = placed.join(right, "band").filter((F.col("k1") != F.col("b1")) | (F.col("k2") != F.col("b2")))
             if last:
                 anchors = written(_anchored(near.select(*named, "rate"), hubs, sets), "minhash-anchors")
-                pairs = _open_pairs(placed, nodes, anchors, other, sized, percent).select(*named)
+                pairs = _open_pairs(placed, anchors, sets, sized, percent).select(*named).distinct()
             else:
                 used = used.unionByName(hubs.select("k1", "k2", "band"))
                 pairs = near.filter(sized & (F.col("root") != F.col("rb"))).select(*named).distinct()
@@ -282,17 +285,67 @@ def _anchored(near: DataFrame, hubs: DataFrame, sets: DataFrame) -> DataFrame:
     return measured.unionByName(own.join(measured, ["k1", "k2"], "left_anti"))
 
 
-def _open_pairs(
-    placed: DataFrame, nodes: DataFrame, anchors: DataFrame, other: list[Column], sized: Column, percent: int
-) -> DataFrame:
-    """Each pair of nodes of different components that share a band and that no anchor refutes, once."""
-    rows = placed.join(nodes.select("k1", "k2", "bands"), ["k1", "k2"])
-    rows = written(rows.join(anchors, ["k1", "k2"], "left"), "minhash-rest")
+def _heads(sets: DataFrame, percent: int) -> DataFrame:
+    """``k1``, ``k2``, ``shingle`` and its ``place`` for the rarest shingles of each set.
+
+    All sets order their shingles alike, rare ones first.  Two sets that are similar enough have
+    ``percent`` of each in common, so each has a common one among its first ``n - need + 1``.  How rare
+    a shingle is comes from a table of fixed size; collisions there only change the order.
+    """
+    spark = sets.sparkSession
+    spot = F.col("m").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("spot")
+    found = sets.select(F.explode("members").alias("m")).groupBy(spot).agg(F.count("*").alias("c")).toArrow()
+    counts = np.zeros(COUNTERS, dtype=np.int64)
+    counts[found["spot"].to_numpy()] = found["c"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            members = batch.column("members")
+            sizes = np.diff(members.offsets.to_numpy())
+            values = members.flatten().to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            rarity = shared.value[values & (COUNTERS - 1)]
+            order = np.lexsort((values, rarity, row))
+            place = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            heads = sizes - (sizes.astype(np.int64) * percent + 99) // 100 + 1
+            first = place < np.repeat(heads, sizes)
+            taken = pa.array(row[first])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("k1").take(taken),
+                    batch.column("k2").take(taken),
+                    pa.array(values[order][first]),
+                    pa.array(place[first]),
+                ],
+                names=["k1", "k2", "shingle", "place"],
+            )
+
+    return sets.mapInArrow(scan, "k1 long, k2 long, shingle long, place long")
+
+
+def _open_pairs(placed: DataFrame, anchors: DataFrame, sets: DataFrame, sized: Column, percent: int) -> DataFrame:
+    """Each pair of nodes of different components that may be similar enough, once.
+
+    Such nodes share one of their rarest shingles, early enough for what follows it to suffice, and
+    no anchor refutes them.  Nodes that are open in no band need no pairs with each other.
+    """
+    nodes = placed.groupBy("k1", "k2").agg(
+        F.any_value("n").alias("n"),
+        F.any_value("root").alias("root"),
+        F.max(F.col("root") != F.col("main")).alias("open"),
+    )
+    nodes = written(nodes.join(anchors, ["k1", "k2"], "left"), "minhash-rest")
+    heads = _heads(sets.join(nodes, ["k1", "k2"], "left_semi"), percent)
+    rows = written(heads.join(nodes, ["k1", "k2"]), "minhash-heads")
     right = rows.select(
-        "band",
-        *other,
+        "shingle",
+        F.col("k1").alias("b1"),
+        F.col("k2").alias("b2"),
+        F.col("n").alias("bn"),
+        F.col("place").alias("bp"),
         F.col("root").alias("rb"),
-        F.col("bands").alias("bb"),
+        F.col("open").alias("ob"),
         F.col("anchor").alias("ab"),
         F.col("far").alias("fb"),
     )
@@ -301,19 +354,13 @@ def _open_pairs(
     refuted = F.coalesce(
         (F.col("anchor") == F.col("ab")) & (F.abs(F.col("far") - F.col("fb")) > allowed), F.lit(False)
     )
-    first = F.element_at(F.array_intersect("bands", "bb"), 1) == F.col("r.band")
+    # From the first common shingle on, no more than the shorter rest can be common.
+    rest = F.least(F.col("n") - F.col("place"), F.col("bn") - F.col("bp"))
+    enough = rest * (100 + percent) >= (F.col("n") + F.col("bn")) * percent
     return (
-        rows.filter(F.col("root") != F.col("main"))
-        .alias("l")
-        .join(
-            right.alias("r"),
-            (F.col("l.band") == F.col("r.band"))
-            & (F.col("root") != F.col("rb"))
-            & ((F.col("rb") == F.col("main")) | ordered)
-            & sized
-            & ~refuted
-            & first,
-        )
+        rows.filter("open")
+        .join(right, "shingle")
+        .filter((F.col("root") != F.col("rb")) & (~F.col("ob") | ordered) & sized & enough & ~refuted)
     )
 
 

@@ -117,6 +117,62 @@ def test_groups_equal_the_model(spark, words):
     assert got == {i: (len(sets[i]), roots[i]) for i in sets}
 
 
+def test_similar_sets_share_one_of_their_rarest_shingles(spark):
+    draw = np.random.default_rng(7)
+    base = draw.integers(-(2**62), 2**62, 300)
+    sets = []
+    for size in [1, 2, 4, 5, 9, 10, 60, 300]:
+        for _ in range(12):
+            kept = base[:size][draw.random(size) > draw.uniform(0, 0.15)]
+            own = draw.integers(-(2**62), 2**62, int(size * draw.uniform(0, 0.12)))
+            sets.append(sorted({int(x) for x in np.concatenate([kept, own])} or {int(base[0])}))
+    rows = [(i, -i, members) for i, members in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "k1 long, k2 long, members array<long>")
+    heads = {}
+    for row in circulant._heads(frame, 80).collect():
+        assert row["k2"] == -row["k1"]
+        heads.setdefault(row["k1"], {})[row["shingle"]] = row["place"]
+    alike = 0
+    for i, one in enumerate(sets):
+        need = -(-len(one) * 80 // 100)
+        assert sorted(heads[i].values()) == list(range(len(one) - need + 1))
+        for j, two in enumerate(sets[:i]):
+            common = len(set(one) & set(two))
+            if common * 100 >= len(set(one) | set(two)) * 80:
+                alike += 1
+                places = [(heads[i][x], heads[j][x]) for x in heads[i].keys() & heads[j].keys()]
+                rest = max(min(len(one) - p, len(two) - q) for p, q in places)
+                assert rest * 180 >= (len(one) + len(two)) * 80
+    assert alike > 100
+
+
+def test_open_pairs_are_all_found_and_each_once(spark):
+    """Groups whose every pair was left open are paired wherever the full sets are similar enough."""
+    draw = np.random.default_rng(11)
+    base = [int(x) for x in draw.integers(-(2**62), 2**62, 100)]
+    sets = []
+    for edits in [0, 2, 4, 8, 12, 35, 40, 45] * 4:
+        places = set(draw.permutation(100)[:edits].tolist())
+        own = range(len(sets) * 1000, len(sets) * 1000 + edits)
+        sets.append(sorted([*(x for i, x in enumerate(base) if i not in places), *own]))
+    rows = [(i, i, members) for i, members in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "k1 long, k2 long, members array<long>")
+    root = F.struct(F.col("k1"), F.col("k2"))
+    placed = frame.select(F.lit(1).alias("band"), "k1", "k2", F.size("members").alias("n"), root.alias("root"))
+    placed = placed.withColumn("main", F.struct(F.lit(0).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2")))
+    none = placed.select("k1", "k2", root.alias("anchor"), F.lit(0.0).alias("far")).limit(0)
+    sized = F.least("n", "bn") * 100 >= F.greatest("n", "bn") * 80
+    pairs = circulant._open_pairs(placed, none, frame, sized, 80).select("k1", "b1").distinct().collect()
+    found = {frozenset(pair) for pair in pairs}
+    assert len(found) == len(pairs)
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets[:i]):
+            if len(set(one) & set(two)) * 100 >= len(set(one) | set(two)) * 80:
+                assert frozenset((i, j)) in found
+    heavy = [i for i in range(len(sets)) if i % 8 >= 5]
+    assert not any(pair <= set(heavy) for pair in found)
+
+
 def test_one_of_each_group_stays(spark):
     kept = circulant.deduplicated(edge_table(spark), words=2)
     assert kept.columns == edge_table(spark).columns

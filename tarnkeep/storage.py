@@ -83,4 +83,5 @@ def kept(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     """
     path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path), path
+    # The schema is known, so no job has to look into the files for it.
+    return frame.sparkSession.read.schema(frame.schema).parquet(path), path

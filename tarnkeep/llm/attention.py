@@ -21,9 +21,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tarnkeep.llm.grams import ALPHANUMERIC, U64, Texts, text_pieces, words_of
+from tarnkeep.llm.tables import written
 
 #: Most labelled documents that are used for training; the ones with the least hashes of their ids.
 SAMPLE = 4_000
+#: Most bytes of their passages together, which is what the driver holds: documents that go beyond are passed over.
+SAMPLE_BYTES = 64 << 20
 #: Bytes of a passage, and the width of its description.
 PASSAGE = 512
 PAIRS, WORDS = 256, 256
@@ -166,7 +169,8 @@ def trained(x: np.ndarray, counts: np.ndarray, labels: np.ndarray, seed: int = 1
         for at in range(0, len(order), DOCUMENTS):
             batch = order[at : at + DOCUMENTS]
             rows = np.concatenate([np.arange(starts[i], starts[i] + counts[i]) for i in batch])
-            gradient = _gradient(model, x[rows], counts[batch], labels[batch])
+            own = x[rows].astype(np.float32, copy=False)
+            gradient = _gradient(model, own, counts[batch], labels[batch])
             step += 1
             new = []
             for i, (p, g) in enumerate(zip(model, gradient, strict=True)):
@@ -225,15 +229,34 @@ def sampled(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
     )
 
 
-def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """The model of the sample; with no labels, or labels of one kind, little more than their rate."""
-    found = sampled(documents, labels, sample).toArrow().sort_by([("id", "ascending")])
-    bags = [
-        np.frombuffer(b, dtype=np.float16).reshape(-1, WIDTH) for b in found["passages"].to_pylist()
-    ]
+def _within(found: DataFrame, bound: int) -> list:
+    """Ids of described documents, by the hash of their id, whose passages together take at most ``bound`` bytes."""
+    sizes = found.groupBy("id").agg(F.sum(F.octet_length("passages")).alias("size"))
+    chosen, used = [], 0
+    for row in sizes.orderBy(F.xxhash64("id"), "id").collect():
+        if used + row["size"] <= bound:
+            chosen.append(row["id"])
+            used += row["size"]
+    return chosen
+
+
+def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, bound: int = SAMPLE_BYTES) -> Model:
+    """The model of the sample; with no labels, or labels of one kind, little more than their rate.
+
+    The driver holds at most ``sample`` ids and ``bound`` bytes of passages.
+    """
+    found = written(sampled(documents, labels, sample), "labelled-sample")
+    chosen = _within(found, bound)
+    ids = found.sparkSession.createDataFrame([(i,) for i in chosen], found.select("id").schema)
+    kept = found.join(F.broadcast(ids), "id")
+    rows = kept.toArrow().sort_by([("id", "ascending")])
+    known = rows["label"].to_numpy().astype(np.float64)
+    bags = [np.frombuffer(b.as_buffer(), dtype=np.float16).reshape(-1, WIDTH) for b in rows["passages"]]
     counts = np.array([len(b) for b in bags], dtype=np.int64)
-    x = np.concatenate(bags).astype(np.float32) if bags else np.zeros((0, WIDTH), np.float32)
-    return trained(x, counts, found["label"].to_numpy().astype(np.float64))
+    x = np.concatenate(bags) if bags else np.zeros((0, WIDTH), np.float16)
+    # Only the passages are needed from here on, not the table they came in.
+    del rows, bags
+    return trained(x, counts, known)
 
 
 def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:

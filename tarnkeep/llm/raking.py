@@ -1,9 +1,14 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Documents are counted by cell (source, language, topic).  The token weights of the cells are raked:
-in turn, each margin is scaled to its targets, until all of them fit.  A document is then
+in turn, each margin is scaled to its targets, until nothing moves any more.  A document is then
 kept with the probability that its cell needs, decided by the hash of its key.
 
+No document can be kept more than once, so a cell's weight is bounded by its tokens.  Raking works
+under that bound: a cell at it counts as it is, and the others are scaled to what it leaves of the
+margin.  Targets beyond the tokens of their value are lowered to these beforehand, and the other values
+of the margin share what that sets free.
+
 Everything is a plan of Spark's own functions; only cells, never documents, are raked.
 """
 
@@ -16,8 +21,8 @@ from pyspark.sql import functions as F
 
 from tarnkeep.llm.tables import unit_draw, written
 
-#: Turns through all margins, and turns between written tables.
-ROUNDS, WRITTEN_EVERY = 12, 4
+#: Raking ends when a turn through all margins moves less than this share of the mix; turns at most.
+MOVED, TURNS = 1e-4, 100
 #: Share of all tokens that the mix should have.
 FRACTION = 0.8
 #: Large sources are damped: a source's target is its tokens to this power.
@@ -44,51 +49,136 @@ def topic_of(text: Column) -> Column:
     )
 
 
-def _named_target(cells: DataFrame, name: str, shares: Mapping[str, float], total: int) -> Column:
-    """Named values present divide what the others leave, by their shares; others keep their own."""
-    named = cells.filter(F.col(name).isin(*shares)).groupBy(name).agg(F.sum("tokens").alias("t"))
-    held = {row[name]: row["t"] for row in named.collect() if row["t"]}
-    present = sum(shares[value] for value in held) or 1.0
-    free = sum(held.values()) / total
-    target = F.expr(f"sum(tokens) OVER (PARTITION BY {name}) / {total}")
-    for value in held:
-        own = free * shares[value] / present
-        target = F.when(F.col(name) == value, F.lit(own)).otherwise(target)
-    return target
+def _by_dimension(values: Mapping[str, float]) -> Column:
+    chosen = F.lit(None).cast("double")
+    for name, value in values.items():
+        chosen = F.when(F.col("dimension") == name, F.lit(float(value))).otherwise(chosen)
+    return chosen
+
+
+def _share_of(value: Column) -> Column:
+    """The share that the settings give to a language or topic; null where they name none."""
+    share = F.lit(None).cast("double")
+    for name, shares in (("lang", LANGUAGES), ("topic", TOPICS)):
+        for given, own in shares.items():
+            share = F.when((F.col("dimension") == name) & (value == given), F.lit(own)).otherwise(share)
+    return share
+
+
+def targets(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
+    """One row per dimension and value: ``tokens``, ``wanted``, ``supply`` and ``target``, as shares of the mix.
 
+    * Sources want their tokens to the power ``DAMPING``.  Named languages and topics that are present divide what the
+      others leave, by their shares; others want what they have.
+    * ``supply`` is what the value gives if all of it is kept.  The targets are ``wanted`` times one factor
+      per dimension, at most ``supply``, and sum to 1.
+
+    The driver sees two sums per dimension at a time.
+    """
+    listed = [
+        F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value"), F.col("tokens")) for name in DIMENSIONS
+    ]
+    values = written(
+        cells.select(F.explode(F.array(*listed)).alias("v"))
+        .groupBy("v.dimension", "v.value")
+        .agg(F.sum("v.tokens").alias("tokens"))
+        .withColumn("share", F.when(F.col("tokens") > 0, _share_of(F.col("value"))))
+        .withColumn("damped", F.pow("tokens", F.lit(DAMPING))),
+        "mix-values",
+    )
+    held = F.when(F.col("share").isNotNull(), F.col("tokens"))
+    sums = values.groupBy("dimension").agg(
+        F.sum("tokens").alias("total"), F.sum("damped").alias("damped"), F.sum(held).alias("free"), F.sum("share").alias("share")
+    )
+    known = {row["dimension"]: row for row in sums.collect()}
 
-def targeted(cells: DataFrame) -> DataFrame:
-    """``cells`` (the dimensions and ``tokens``) with ``weight`` and a target for each dimension.
+    def total(column: str) -> Column:
+        return _by_dimension({name: known[name][column] or 1 if name in known else 1 for name in DIMENSIONS})
 
-    The weight is the share of tokens.  The driver sees sums only: one per named value, and totals.
+    wanted = (
+        F.when(F.col("dimension") == "source", F.col("damped") / total("damped"))
+        .when(F.col("share").isNull(), F.col("tokens") / total("total"))
+        .otherwise(total("free") / total("total") * F.col("share") / total("share"))
+    )
+    values = values.select(
+        "dimension",
+        "value",
+        "tokens",
+        wanted.alias("wanted"),
+        (F.col("tokens") / total("total") / F.lit(fraction)).alias("supply"),
+    )
+    factors = dict.fromkeys(DIMENSIONS, 1.0)
+    while True:
+        # Each turn finds at least one more value short of supply, or is the last one.
+        scaled = F.col("wanted") * _by_dimension(factors)
+        short = scaled >= F.col("supply")
+        left = values.groupBy("dimension").agg(
+            F.sum(F.when(short, F.col("supply")).otherwise(0.0)).alias("given"),
+            F.sum(F.when(short, 0.0).otherwise(F.col("wanted"))).alias("open"),
+        )
+        found = dict(factors)
+        for row in left.collect():
+            if row["open"] > 0:
+                found[row["dimension"]] = (1.0 - row["given"]) / row["open"]
+        if all(abs(found[name] - factors[name]) < 1e-12 for name in DIMENSIONS):
+            break
+        factors = found
+    return values.withColumn("target", F.least(F.col("wanted") * _by_dimension(factors), F.col("supply")))
+
+
+def targeted(cells: DataFrame, values: DataFrame, fraction: float = FRACTION) -> DataFrame:
+    """``cells`` (the dimensions and ``tokens``) with ``weight``, ``bound`` and a target for each dimension.
+
+    The weight is the share of tokens, the bound what the cell gives if all of it is kept.
     """
     total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 1
-    sources = cells.groupBy("source").agg(F.sum("tokens").alias("t"))
-    damped = sources.agg(F.sum(F.pow("t", F.lit(DAMPING))).alias("t")).first()["t"] or 1.0
-    own = F.expr("sum(tokens) OVER (PARTITION BY source)")
-    return (
-        cells.withColumn("share", F.col("tokens") / F.lit(total))
-        .withColumn("weight", F.col("share"))
-        .withColumn("target_source", F.pow(own, F.lit(DAMPING)) / F.lit(damped))
-        .withColumn("target_lang", _named_target(cells, "lang", LANGUAGES, total))
-        .withColumn("target_topic", _named_target(cells, "topic", TOPICS, total))
+    share = F.col("tokens") / F.lit(total)
+    rows = cells.withColumn("weight", share).withColumn("bound", share / F.lit(fraction))
+    for name in DIMENSIONS:
+        own = values.filter(F.col("dimension") == name)
+        rows = rows.join(own.select(F.col("value").alias(name), F.col("target").alias(f"target_{name}")), name)
+    return written(rows, "raked-cells")
+
+
+def _scaled(cells: DataFrame, name: str) -> DataFrame:
+    """One step of raking: the weights of each value of ``name`` times the factor that its target asks for.
+
+    Too heavy values shrink as a whole; in too light ones the cells below their bounds
+    take what those at theirs leave.  Without such cells nothing more can be had.
+    """
+    full = F.col("weight") >= F.col("bound")
+    sums = cells.groupBy(name).agg(
+        F.sum(F.least("weight", "bound")).alias("all"),
+        F.sum(F.when(full, F.col("bound")).otherwise(0.0)).alias("given"),
+        F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).alias("open"),
+        F.max(f"target_{name}").alias("target"),
     )
+    factor = (
+        F.when((F.col("all") >= F.col("target")) & (F.col("all") > 0), F.col("target") / F.col("all"))
+        .when(F.col("open") > 0, (F.col("target") - F.col("given")) / F.col("open"))
+        .otherwise(1.0)
+    )
+    factors = sums.select(name, factor.alias("factor"))
+    return cells.join(factors, name).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
 
 
-def raked(cells: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` with ``weight`` fitted to ``target_<dimension>`` in turn.
+def raked(cells: DataFrame, turns: int = TURNS, least_move: float = MOVED) -> DataFrame:
+    """``cells`` with ``weight`` fitted to ``target_<dimension>`` in turn, and never above ``bound``.
 
-    Only cells are summed by their values here, and they are few next to documents.  Values without
-    any weight stay without.
+    Sums are grouped, which combines in each task before the shuffle, and joined back, so no
+    value's cells meet in one task.  Each step is one written table: plans stay small, and a lost executor costs
+    one step.  Where no weights meet all margins, raking ends when they settle; the last
+    dimension then fits best.  Values without any weight stay without.
     """
-    for turn in range(rounds):
+    bounded = F.least("weight", "bound")
+    for _ in range(turns):
+        cells = cells.withColumn("before", bounded)
         for name in DIMENSIONS:
-            sums = f"sum(weight) OVER (PARTITION BY {name})"
-            scaled = f"coalesce(weight * target_{name} / nullif({sums}, 0), 0)"
-            cells = cells.withColumn("weight", F.expr(scaled))
-        if (turn + 1) % WRITTEN_EVERY == 0:
-            cells = written(cells, "raked-cells")
-    return cells
+            cells = written(_scaled(cells, name), "raked-cells")
+        moved = cells.agg(F.sum(F.abs(bounded - F.col("before"))).alias("t")).first()["t"]
+        if (moved or 0.0) < least_move:
+            break
+    return cells.drop("before").withColumn("weight", bounded)
 
 
 def _celled(documents: DataFrame, text: str) -> DataFrame:
@@ -101,32 +191,57 @@ def _celled(documents: DataFrame, text: str) -> DataFrame:
     )
 
 
+def _fitted(rows: DataFrame, fraction: float) -> tuple[DataFrame, DataFrame]:
+    """The raked cells of ``rows``, and the targets they were raked to."""
+    named = [F.col(f"__{name}").alias(name) for name in DIMENSIONS]
+    cells = written(rows.groupBy(*named).agg(F.sum("__tokens").alias("tokens")), "cells")
+    values = targets(cells, fraction)
+    return raked(targeted(cells, values, fraction)), values
+
+
 def mixed(
     documents: DataFrame, key: str = "doc_id", text: str = "text", fraction: float = FRACTION
 ) -> DataFrame:
     """All rows of ``documents`` with ``__topic``, ``__tokens``, ``__probability`` and ``__sampled``.
 
-    A cell's probability is ``fraction`` times its fitted weight over its share of tokens, at most 1.
-    What the cap cuts off is not given to other cells, so these keep their proportions.
+    A cell's probability is its fitted weight over its bound, so the expected tokens have the
+    margins that ``targets`` gives, as far as the cells allow (see ``fit``).
 
     * Null sources and languages are values like others, the same as empty ones.
     * Documents of cells without tokens (null or empty texts only) cost nothing and always stay.
     * Equal keys draw alike, and so do null keys; an empty table gives an empty result.
     """
     rows = _celled(documents, text)
-    named = [F.col(f"__{name}").alias(name) for name in DIMENSIONS]
-    cells = rows.groupBy(*named).agg(F.sum("__tokens").alias("tokens"))
-    fitted = raked(targeted(written(cells, "cells")))
-    wanted = F.lit(fraction) * F.col("weight") / F.col("share")
+    fitted, _ = _fitted(rows, fraction)
     chances = fitted.select(
         *[F.col(name).alias(f"__{name}") for name in DIMENSIONS],
-        F.when(F.col("tokens") == 0, 1.0).otherwise(F.least(F.lit(1.0), wanted)).alias("__probability"),
+        F.when(F.col("tokens") == 0, 1.0).otherwise(F.col("weight") / F.col("bound")).alias("__probability"),
     )
     joined = rows.join(chances, [f"__{name}" for name in DIMENSIONS])
     draw = unit_draw(F.coalesce(F.col(key).cast("string"), F.lit("null")), "mix")
     return joined.withColumn("__sampled", draw < F.col("__probability"))
 
 
+def fit(documents: DataFrame, text: str = "text", fraction: float = FRACTION) -> DataFrame:
+    """How well the mix fits: per dimension and value ``wanted``, ``supply``, ``target`` and ``expected``.
+
+    All are shares of the mix.  A ``target`` off ``wanted`` cannot be reached for lack of tokens, an ``expected`` off
+    ``target`` because no weights of the cells meet all margins at once.
+    """
+    cells, values = _fitted(_celled(documents, text), fraction)
+    listed = [
+        F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value"), F.col("weight")) for name in DIMENSIONS
+    ]
+    expected = (
+        cells.select(F.explode(F.array(*listed)).alias("v"))
+        .groupBy("v.dimension", "v.value")
+        .agg(F.sum("v.weight").alias("expected"))
+    )
+    return values.join(expected, ["dimension", "value"]).select(
+        "dimension", "value", "tokens", "wanted", "supply", "target", "expected"
+    )
+
+
 def sampled(documents: DataFrame) -> DataFrame:
     """The documents that the mix draws; columns unchanged."""
     return mixed(documents).filter("__sampled").select(*documents.columns)
@@ -151,28 +266,47 @@ def sql(documents: str = "documents") -> str:
     def listed(shares: Mapping[str, float]) -> str:
         return ", ".join(f"('{value}', {share!r})" for value, share in shares.items())
 
-    def target(name: str, shares: Mapping[str, float]) -> str:
+    def wanted(name: str, shares: Mapping[str, float]) -> str:
         return f"""
     named_{name} AS (
       SELECT v.value, v.share, m.t FROM (VALUES {listed(shares)}) v(value, share)
       JOIN (SELECT {name} AS value, sum(tokens) AS t FROM cells GROUP BY {name}) m USING (value) WHERE m.t > 0
     ),
     free_{name} AS (SELECT sum(t)::DOUBLE AS t, sum(share) AS share FROM named_{name}),
-    targets_{name} AS (
-      SELECT c.value, CASE WHEN n.value IS NULL THEN c.t / total.t ELSE f.t / total.t * n.share / f.share END AS target
+    wanted_{name} AS (
+      SELECT c.value, c.t, CASE WHEN n.value IS NULL THEN c.t / total.t
+        ELSE f.t / total.t * n.share / f.share END AS wanted
       FROM (SELECT {name} AS value, sum(tokens)::DOUBLE AS t FROM cells GROUP BY {name}) c
       LEFT JOIN named_{name} n USING (value), total, free_{name} f
     ),"""
 
-    steps, last = [], "w0"
-    for turn in range(ROUNDS):
-        for name in DIMENSIONS:
-            step = f"w{turn}_{name}"
-            steps.append(
-                f"{step} AS MATERIALIZED (SELECT * REPLACE (coalesce(weight * target_{name}"
-                f" / nullif(sum(weight) OVER (PARTITION BY {name}), 0), 0) AS weight) FROM {last})"
-            )
-            last = step
+    def target(name: str) -> str:
+        # Values in the order in which a growing factor exhausts them: the factor is that of the first one not exhausted.
+        return f"""
+    supply_{name} AS (SELECT value, wanted, w.t / total.t / {FRACTION} AS supply FROM wanted_{name} w, total),
+    level_{name} AS (
+      SELECT arg_min(factor, own) AS factor FROM (
+        SELECT (1 - coalesce(sum(supply) OVER gone, 0)) / sum(wanted) OVER rest AS factor, supply / wanted AS own
+        FROM supply_{name} WHERE wanted > 0
+        WINDOW gone AS (ORDER BY supply / wanted, value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+          rest AS (ORDER BY supply / wanted, value ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+      ) WHERE factor <= own
+    ),
+    targets_{name} AS (
+      SELECT value, least(wanted * coalesce(factor, 1), supply) AS target FROM supply_{name}, level_{name}
+    ),"""
+
+    turn = "(SELECT *, least(weight, bound) AS before FROM turns WHERE moved >= {MOVED} AND turn < {TURNS})".format(
+        MOVED=MOVED, TURNS=TURNS
+    )
+    for name in DIMENSIONS:
+        turn = f"""(
+        SELECT * EXCLUDE (a, g, o) REPLACE (weight * CASE WHEN a >= target_{name} AND a > 0 THEN target_{name} / a
+          WHEN o > 0 THEN (target_{name} - g) / o ELSE 1 END AS weight)
+        FROM (SELECT *, sum(least(weight, bound)) OVER v AS a,
+          sum(CASE WHEN weight >= bound THEN bound ELSE 0 END) OVER v AS g,
+          sum(CASE WHEN weight >= bound THEN 0 ELSE weight END) OVER v AS o
+          FROM {turn} WINDOW v AS (PARTITION BY {name})))"""
     return f"""
     celled AS (
       SELECT *, coalesce(source, '') AS c_source, coalesce(lang, '') AS c_lang,
@@ -187,25 +321,31 @@ def sql(documents: str = "documents") -> str:
     ),
     total AS (SELECT greatest(sum(tokens), 1)::DOUBLE AS t FROM cells),
     sources AS (SELECT source AS value, pow(sum(tokens)::DOUBLE, {DAMPING}) AS t FROM cells GROUP BY source),
-    damped AS (SELECT sum(t) AS t FROM sources),{target("lang", LANGUAGES)}{target("topic", TOPICS)}
-    w0 AS MATERIALIZED (
-      SELECT c.*, c.tokens / total.t AS share, c.tokens / total.t AS weight,
-        s.t / damped.t AS target_source, l.target AS target_lang, o.target AS target_topic
-      FROM cells c JOIN sources s ON s.value = c.source JOIN targets_lang l ON l.value = c.lang
-      JOIN targets_topic o ON o.value = c.topic, total, damped
+    damped AS (SELECT sum(t) AS t FROM sources),
+    wanted_source AS (
+      SELECT value, s.t / damped.t AS wanted, c.t FROM sources s
+      JOIN (SELECT source AS value, sum(tokens)::DOUBLE AS t FROM cells GROUP BY source) c USING (value), damped
+    ),{wanted("lang", LANGUAGES)}{wanted("topic", TOPICS)}{target("source")}{target("lang")}{target("topic")}
+    turns AS (
+      SELECT c.*, c.tokens / total.t AS weight, c.tokens / total.t / {FRACTION} AS bound,
+        s.target AS target_source, l.target AS target_lang, o.target AS target_topic, 0 AS turn, 1.0::DOUBLE AS moved
+      FROM cells c JOIN targets_source s ON s.value = c.source JOIN targets_lang l ON l.value = c.lang
+      JOIN targets_topic o ON o.value = c.topic, total
+      UNION ALL
+      SELECT * EXCLUDE (before) REPLACE (turn + 1 AS turn, sum(abs(least(weight, bound) - before)) OVER () AS moved)
+      FROM {turn}
     ),
-    {", ".join(steps)},
+    fitted AS (SELECT * FROM turns WHERE turn = (SELECT max(turn) FROM turns)),
     mixed AS (
-      SELECT d.*, CASE WHEN w.tokens = 0 THEN 1.0::DOUBLE
-        ELSE least(1.0, {FRACTION} * w.weight / w.share) END AS probability,
+      SELECT d.*, CASE WHEN w.tokens = 0 THEN 1.0::DOUBLE ELSE least(w.weight, w.bound) / w.bound END AS probability,
         (('0x' || substr(md5('mix|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT + 0.5)
           / {float(1 << 52)} AS draw
-      FROM celled d JOIN {last} w ON w.source = c_source AND w.lang = c_lang AND w.topic = c_topic
+      FROM celled d JOIN fitted w ON w.source = c_source AND w.lang = c_lang AND w.topic = c_topic
     )"""
 
 
 OP2_SQL = f"""
-WITH {sql()}
+WITH RECURSIVE {sql()}
 SELECT doc_id, c_source AS source, c_lang AS lang, c_topic AS topic, c_tokens AS tokens,
   round(probability, 9) AS probability, draw < probability AS sampled
 FROM mixed

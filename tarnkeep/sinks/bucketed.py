@@ -9,7 +9,9 @@ second hash of the key, which Spark's bucketed tables know.  A merge
 * appends the source rows of the other slots.
 
 Since the table is read by bucket, both joins shuffle the source alone, to the table's buckets, or broadcast it if it is
-small.  Rows without a key equal nothing: they are only ever appended, to slots of their own.
+small.  Where a bucket has more rows than one task should sort, both sides are dealt to several tasks per bucket instead,
+and writes cut a large bucket into several files, so a task's memory does not grow with the table.  Rows without a key
+equal nothing: they are only ever appended, to slots of their own.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from tarnkeep.storage import Storage
 SLOT = "__slot"
 #: Tasks that null-key rows are spread over; each has a slot below zero.
 NULL_SLOTS = 16
+#: Rows that one task of a merge sorts; larger buckets are joined by several tasks.
+ROWS_TOGETHER = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -33,7 +37,7 @@ class BucketedTarget:
     """A managed table of ``slots`` folders with ``buckets`` files or more each, both by a hash of ``key``.
 
     A merge of ``n`` keys rewrites at most ``n`` slots, so choose so many that a slot is about what a small merge may
-    rewrite.  The number of buckets is the number of tasks that read the table in a merge.
+    rewrite.  The number of buckets is the least number of tasks that read the table in a merge.
     """
 
     name: str
@@ -50,9 +54,19 @@ class BucketedTarget:
 
     def _laid_out(self, frame: DataFrame) -> DataFrame:
         """Rows with their slot, dealt to tasks by bucket; null keys stay in the tasks they are in."""
-        known = frame.filter(F.col(self.key).isNotNull()).repartition(self.buckets, self.key)
+        known = self._dealt(frame.filter(F.col(self.key).isNotNull()))
         return known.unionByName(frame.filter(F.col(self.key).isNull())).withColumn(SLOT, self._slot())
 
+    def _dealt(self, frame: DataFrame) -> DataFrame:
+        """Rows dealt to tasks by bucket, several tasks for a bucket of more than Spark's advisory size."""
+        # What Spark deals the rows of a bucketed table by.
+        bucket = F.pmod(F.hash(self.key), F.lit(self.buckets))
+        return frame.withColumn("__bucket", bucket).hint("rebalance", F.col("__bucket")).drop("__bucket")
+
+    def _tasks(self, rows: int) -> int:
+        """Tasks to join ``rows`` with: a multiple of the buckets, so that each has rows of one bucket only."""
+        return self.buckets * max(1, -(-rows // (self.buckets * ROWS_TOGETHER)))
+
     def _save(
         self, frame: DataFrame, name: str, mode: str, measures: Sequence[Column] = ()
     ) -> dict[str, object]:
@@ -119,15 +133,20 @@ class BucketedTarget:
         spark = source.sparkSession
         slotted = source.withColumn(SLOT, self._slot())
         present = spark.table(self.name)
-        # At most one number per slot.
-        named = [r[0] for r in slotted.filter(f"{SLOT} >= 0").select(SLOT).distinct().collect()]
+        # At most one row per slot.
+        arrived = slotted.filter(f"{SLOT} >= 0").groupBy(SLOT).count().collect()
+        present = present.filter(F.col(SLOT).isin([r[0] for r in arrived]))
         keys = source.select(self.key)
-        near = present.filter(F.col(SLOT).isin(named)).select(self.key, SLOT)
+        tasks = self._tasks(max(present.count(), sum(r["count"] for r in arrived)))
+        if tasks > self.buckets:
+            # Not read by bucket, since a bucket is one task then.
+            present, keys = present.repartition(tasks, self.key), keys.repartition(tasks, self.key)
+        near = present.select(self.key, SLOT)
         touched = [r[0] for r in near.join(keys, self.key, "left_semi").select(SLOT).distinct().collect()]
         inside = F.col(SLOT).isin(touched)
         if touched:
             staying = present.filter(inside).join(keys, self.key, "left_anti")
-            arriving = slotted.filter(inside).repartition(self.buckets, self.key)
+            arriving = slotted.filter(inside).repartition(tasks, self.key)
             staged = f"{self.name}__copy"
             spark.sql(f"DROP TABLE IF EXISTS {staged}")
             self._save(staying.unionByName(arriving), staged, "error")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tarnkeep.plans.load import load
+from tarnkeep.sinks import bucketed
 from tarnkeep.sinks.bucketed import SLOT, BucketedTarget
 from tarnkeep.sinks.targets import table_folder
 from tarnkeep.storage import Storage
@@ -87,6 +88,31 @@ def test_the_target_is_not_shuffled(spark, target, monkeypatch):
     assert "FileScan" in left and target.name in left
 
 
+def test_large_buckets_are_joined_by_several_tasks(spark, target, monkeypatch):
+    tasks = []
+    real = BucketedTarget._save
+
+    def watched(self, frame, name, mode, measures=()):
+        tasks.append(frame.rdd.getNumPartitions())
+        return real(self, frame, name, mode, measures)
+
+    monkeypatch.setattr(BucketedTarget, "_save", watched)
+    monkeypatch.setattr(bucketed, "ROWS_TOGETHER", 40, raising=False)
+    source = spark.range(0, 800, 2).select("id", F.lit("new").alias("part"), F.lit(2).alias("amount"))
+    expected = merged(spark, target, source)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target.merge_rows(source)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert held(spark, target) == expected
+    # 400 rows on either side; three tasks for each of four buckets.
+    assert tasks[0] == 24
+    # Each file has the rows of its bucket, by which Spark finds a key.
+    for key in (0, 7, 398, 798):
+        assert spark.table(target.name).filter(F.col("id") == key).count() == 1
+
+
 def test_full_loads_and_first_loads(spark, tmp_path):
     made = BucketedTarget(f"fresh_{abs(hash(str(tmp_path)))}", "id", slots=8, buckets=2)
     rows = spark.range(50).select("id", F.lit("a").alias("part"), F.lit(1).alias("amount"))

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tarnkeep.llm.bitmaps import bitmap_of
 from tarnkeep.llm.components import components
@@ -127,6 +128,27 @@ def signatures(rows: DataFrame, words: int) -> DataFrame:
     )
 
 
+def _banded(nodes: DataFrame, shared: DataFrame) -> DataFrame:
+    """``k1``, ``k2``, ``n`` and ``band`` for the bands of ``shared``, and for some others.
+
+    A bitmap keeps most bands that only one node has from being shuffled.
+    """
+    several = nodes.sparkSession.sparkContext.broadcast(bitmap_of(shared, F.col("band")))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands = batch.column("bands")
+            values = bands.flatten().to_numpy()
+            hit = set_bits(several.value, values.view(U64))
+            taken = pa.array(np.repeat(np.arange(len(bands)), np.diff(bands.offsets.to_numpy()))[hit])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name).take(taken) for name in ("k1", "k2", "n")), pa.array(values[hit])],
+                names=["k1", "k2", "n", "band"],
+            )
+
+    return nodes.select("k1", "k2", "n", "bands").mapInArrow(scan, "k1 long, k2 long, n long, band long")
+
+
 def _full_sets(rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """``k1``, ``k2`` and ``members`` of ``nodes`` (with ``row``, the row to take them from).
 
@@ -200,10 +222,12 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
         )
     )
     nodes = written(nodes, "minhash-nodes")
-    banded = nodes.select("k1", "k2", "n", F.explode("bands").alias("band"))
-    banded = banded.withColumn("draw", F.xxhash64("k1", "k2"))
-    shared = banded.groupBy("band").agg(F.count("*").alias("c"), F.min("draw").alias("pivot"))
-    members = written(banded.join(shared.filter("c > 1").drop("c"), "band"), "minhash-members")
+    draw = F.xxhash64("k1", "k2").alias("draw")
+    shared = nodes.select(F.explode("bands").alias("band"), draw).groupBy("band")
+    shared = shared.agg(F.count("*").alias("c"), F.min("draw").alias("pivot")).filter("c > 1").drop("c")
+    shared = written(shared, "minhash-shared")
+    banded = _banded(nodes, shared).select("*", draw)
+    members = written(banded.join(shared, "band"), "minhash-members")
     involved = members.select("k1", "k2").distinct()
     sets = written(_full_sets(rows, nodes.join(involved, ["k1", "k2"]), words), "minhash-sets")
 
@@ -225,6 +249,7 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
     while True:
         roots = written(_joined(roots, found), "minhash-roots")
         placed = members.select("band", "k1", "k2", "n").join(roots, ["k1", "k2"])
+        placed = written(placed, "minhash-placed")
         counts = placed.groupBy("band", "root").agg(F.count("*").alias("c"))
         # In each band the largest component is ``main``; its members need no pairs with each other.
         sizes = counts.groupBy("band").agg(
@@ -240,13 +265,15 @@ def node_links(signed: DataFrame, rows: DataFrame, words: int, percent: int) ->
         ).first()
         if not left["pairs"]:
             break
+        # Components only grow, so what is one component in a band now needs no further look.
+        placed = written(placed.join(sizes.select("band", "main"), "band"), "minhash-open")
+        members = placed
         fruitful = number < 2 or found.count() >= FRUITFUL * tries
         last = number > 0 and (left["pairs"] <= left["members"] or not fruitful)
         known = tested.unionByName(_flipped(tested))
         if number == 0:
             pairs = _apart(starred.select(*PAIR), roots)
         else:
-            placed = written(placed.join(sizes.select("band", "main"), "band"), "minhash-open")
             # Anchors may be hubs of earlier rounds, new pivots may not.
             hubs = _hubs(placed, tested, links, used.limit(0) if last else used)
             right = hubs.select("band", *other, F.col("root").alias("rb"), "rate")
@@ -285,8 +312,8 @@ def _anchored(near: DataFrame, hubs: DataFrame, sets: DataFrame) -> DataFrame:
     return measured.unionByName(own.join(measured, ["k1", "k2"], "left_anti"))
 
 
-def _heads(sets: DataFrame, percent: int) -> DataFrame:
-    """``k1``, ``k2``, ``shingle`` and its ``place`` for the rarest shingles of each set.
+def _heads(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``nodes`` with ``shingle`` and its ``place`` for the rarest shingles of each set.
 
     All sets order their shingles alike, rare ones first.  Two sets that are similar enough have
     ``percent`` of each in common, so each has a common one among its first ``n - need + 1``.  How rare
@@ -294,7 +321,9 @@ def _heads(sets: DataFrame, percent: int) -> DataFrame:
     """
     spark = sets.sparkSession
     spot = F.col("m").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("spot")
-    found = sets.select(F.explode("members").alias("m")).groupBy(spot).agg(F.count("*").alias("c")).toArrow()
+    # One row per node meets its set; the shingles come out of the task that has both.
+    held = sets.join(nodes, ["k1", "k2"]).select(*nodes.columns, "members")
+    found = held.select(F.explode("members").alias("m")).groupBy(spot).agg(F.count("*").alias("c")).toArrow()
     counts = np.zeros(COUNTERS, dtype=np.int64)
     counts[found["spot"].to_numpy()] = found["c"].to_numpy()
     shared = spark.sparkContext.broadcast(counts)
@@ -313,15 +342,16 @@ def _heads(sets: DataFrame, percent: int) -> DataFrame:
             taken = pa.array(row[first])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("k1").take(taken),
-                    batch.column("k2").take(taken),
+                    *(batch.column(name).take(taken) for name in names),
                     pa.array(values[order][first]),
                     pa.array(place[first]),
                 ],
-                names=["k1", "k2", "shingle", "place"],
+                names=[*names, "shingle", "place"],
             )
 
-    return sets.mapInArrow(scan, "k1 long, k2 long, shingle long, place long")
+    names = nodes.columns
+    added = [StructField("shingle", LongType()), StructField("place", LongType())]
+    return held.mapInArrow(scan, StructType([*nodes.schema.fields, *added]))
 
 
 def _open_pairs(placed: DataFrame, anchors: DataFrame, sets: DataFrame, sized: Column, percent: int) -> DataFrame:
@@ -336,8 +366,7 @@ def _open_pairs(placed: DataFrame, anchors: DataFrame, sets: DataFrame, sized: C
         F.max(F.col("root") != F.col("main")).alias("open"),
     )
     nodes = written(nodes.join(anchors, ["k1", "k2"], "left"), "minhash-rest")
-    heads = _heads(sets.join(nodes, ["k1", "k2"], "left_semi"), percent)
-    rows = written(heads.join(nodes, ["k1", "k2"]), "minhash-heads")
+    rows = written(_heads(sets, nodes, percent), "minhash-heads")
     right = rows.select(
         "shingle",
         F.col("k1").alias("b1"),

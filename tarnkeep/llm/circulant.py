@@ -312,8 +312,8 @@ def _anchored(near: DataFrame, hubs: DataFrame, sets: DataFrame) -> DataFrame:
     return measured.unionByName(own.join(measured, ["k1", "k2"], "left_anti"))
 
 
-def _heads(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The rows of ``nodes`` with ``shingle`` and its ``place`` for the rarest shingles of each set.
+def _heads(sets: DataFrame, percent: int) -> DataFrame:
+    """``sets`` with ``shingle`` and its ``place``, for the rarest of each, in place of ``members``.
 
     All sets order their shingles alike, rare ones first.  Two sets that are similar enough have
     ``percent`` of each in common, so each has a common one among its first ``n - need + 1``.  How rare
@@ -321,9 +321,7 @@ def _heads(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """
     spark = sets.sparkSession
     spot = F.col("m").bitwiseAND(F.lit(COUNTERS - 1)).cast("int").alias("spot")
-    # One row per node meets its set; the shingles come out of the task that has both.
-    held = sets.join(nodes, ["k1", "k2"]).select(*nodes.columns, "members")
-    found = held.select(F.explode("members").alias("m")).groupBy(spot).agg(F.count("*").alias("c")).toArrow()
+    found = sets.select(F.explode("members").alias("m")).groupBy(spot).agg(F.count("*").alias("c")).toArrow()
     counts = np.zeros(COUNTERS, dtype=np.int64)
     counts[found["spot"].to_numpy()] = found["c"].to_numpy()
     shared = spark.sparkContext.broadcast(counts)
@@ -349,9 +347,10 @@ def _heads(sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 names=[*names, "shingle", "place"],
             )
 
-    names = nodes.columns
+    fields = [field for field in sets.schema.fields if field.name != "members"]
+    names = [field.name for field in fields]
     added = [StructField("shingle", LongType()), StructField("place", LongType())]
-    return held.mapInArrow(scan, StructType([*nodes.schema.fields, *added]))
+    return sets.mapInArrow(scan, StructType([*fields, *added]))
 
 
 def _open_pairs(placed: DataFrame, anchors: DataFrame, sets: DataFrame, sized: Column, percent: int) -> DataFrame:
@@ -366,7 +365,8 @@ def _open_pairs(placed: DataFrame, anchors: DataFrame, sets: DataFrame, sized: C
         F.max(F.col("root") != F.col("main")).alias("open"),
     )
     nodes = written(nodes.join(anchors, ["k1", "k2"], "left"), "minhash-rest")
-    rows = written(_heads(sets, nodes, percent), "minhash-heads")
+    # One row per node meets its set; the shingles come out of the task that has both.
+    rows = written(_heads(sets.join(nodes, ["k1", "k2"]), percent), "minhash-heads")
     right = rows.select(
         "shingle",
         F.col("k1").alias("b1"),

@@ -1,9 +1,11 @@
 """Winnowing, circulant MinHash, suffix arrays and secrets against plain models on edge rows."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.models import (
     PROSE,
@@ -254,6 +256,60 @@ def test_a_hot_passage_never_fills_one_suffix_array(spark, monkeypatch):
     assert _repeats(spark, rows) == sorted(expected, key=str)
 
 
+class _OneTask:
+    """Stands for a frame of one batch, to watch what a task does."""
+
+    def __init__(self, batch):
+        self.batch = batch
+
+    def mapInArrow(self, function, schema):
+        return list(function(iter([self.batch])))
+
+
+def test_scanning_for_contexts_takes_bounded_memory():
+    pick = random.Random(10)
+    texts = ["".join(pick.choices("abcdefgh ", k=8_000)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    repeats.contexts_of(next(repeats.text_pieces(batch.column("text")))[2])  # tables of powers stay
+    seen = []
+
+    def rows_of(part, piece, found):
+        seen.append((part.num_rows, len(found.name)))
+
+    tracemalloc.start()
+    repeats._scan(_OneTask(batch), "", rows_of)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(n for n, _ in seen) == 400
+    assert peak < 64 << 20, f"{peak} bytes for 3.2 MB of text"
+
+
+def test_contexts_of_many_anchors_are_sorted_a_few_at_a_time(monkeypatch):
+    pick = random.Random(11)
+    marks = np.sort(np.array([pick.randrange(4_000) for _ in range(10_000)], dtype=np.int64))
+    batch = pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.arange(10_000)),
+            pa.array(marks),
+            pa.array(np.arange(10_000)),
+            pa.array(np.arange(10_000)),
+            pa.array(np.zeros(10_000, dtype=np.int32)),
+            pa.array([b"a" * 32 + bytes(pick.choices(b"xyz", k=20)) for _ in marks], pa.binary()),
+        ],
+        names=["name", "mark", "least", "most", "left", "bytes"],
+    )
+    minima, sizes = repeats.window_minima, []
+
+    def watched(texts, left, group, least):
+        sizes.append(len(texts))
+        return minima(texts, left, group, least)
+
+    monkeypatch.setattr(repeats, "window_minima", watched)
+    names = {n for part in repeats._resolved(iter([batch])) for n in part.column("name").to_pylist()}
+    assert names == set(range(10_000)) and sum(sizes) == 10_000
+    assert max(sizes) < 1_000, "a task holds the suffix arrays of far more contexts than an anchor has"
+
+
 def test_repeats_tell_texts_of_null_ids_apart(spark):
     """Two texts of one 32-bit hash, of which one loses what a document with an id has."""
     passage = "".join(chr(97 + i * 7 % 26) for i in range(80))

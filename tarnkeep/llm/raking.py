@@ -31,6 +31,8 @@ LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
 TOPICS = {"prose": 0.85, "table": 0.05, "noisy": 0.05, "short": 0.05}
 SHORT = 300
 DIMENSIONS = ("source", "lang", "topic")
+#: At most so many cells are one partition, where Spark groups and joins them without exchanges.
+FEW = 10_000
 
 
 def tokens(text: Column) -> Column:
@@ -49,6 +51,22 @@ def topic_of(text: Column) -> Column:
     )
 
 
+def _together(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` as one partition if they are few, and whether they are.
+
+    Raking takes dozens of small jobs; each exchange in one costs the driver threads and memory for a while.
+    """
+    few = rows.limit(FEW + 1).count() <= FEW
+    return (rows.coalesce(1) if few else rows), few
+
+
+def _matched(rows: DataFrame, other: DataFrame, name: str, few: bool) -> DataFrame:
+    """``rows`` joined with ``other``; both are one partition if ``few``, and stay where they are."""
+    if few:
+        return rows.join(other.coalesce(1).hint("shuffle_hash"), name).coalesce(1)
+    return rows.join(other, name)
+
+
 def _by_dimension(values: Mapping[str, float]) -> Column:
     chosen = F.lit(None).cast("double")
     for name, value in values.items():
@@ -78,6 +96,7 @@ def targets(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
     listed = [
         F.struct(F.lit(name).alias("dimension"), F.col(name).alias("value"), F.col("tokens")) for name in DIMENSIONS
     ]
+    cells, few = _together(cells)
     values = written(
         cells.select(F.explode(F.array(*listed)).alias("v"))
         .groupBy("v.dimension", "v.value")
@@ -86,6 +105,8 @@ def targets(cells: DataFrame, fraction: float = FRACTION) -> DataFrame:
         .withColumn("damped", F.pow("tokens", F.lit(DAMPING))),
         "mix-values",
     )
+    # There are at most as many values of a dimension as cells.
+    values = values.coalesce(1) if few else values
     held = F.when(F.col("share").isNotNull(), F.col("tokens"))
     sums = values.groupBy("dimension").agg(
         F.sum("tokens").alias("total"), F.sum("damped").alias("damped"), F.sum(held).alias("free"), F.sum("share").alias("share")
@@ -131,16 +152,18 @@ def targeted(cells: DataFrame, values: DataFrame, fraction: float = FRACTION) ->
 
     The weight is the share of tokens, the bound what the cell gives if all of it is kept.
     """
+    cells, few = _together(cells)
     total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 1
     share = F.col("tokens") / F.lit(total)
     rows = cells.withColumn("weight", share).withColumn("bound", share / F.lit(fraction))
     for name in DIMENSIONS:
         own = values.filter(F.col("dimension") == name)
-        rows = rows.join(own.select(F.col("value").alias(name), F.col("target").alias(f"target_{name}")), name)
+        own = own.select(F.col("value").alias(name), F.col("target").alias(f"target_{name}"))
+        rows = _matched(rows, own, name, few)
     return written(rows, "raked-cells")
 
 
-def _scaled(cells: DataFrame, name: str) -> DataFrame:
+def _scaled(cells: DataFrame, name: str, few: bool = False) -> DataFrame:
     """One step of raking: the weights of each value of ``name`` times the factor that its target asks for.
 
     Too heavy values shrink as a whole; in too light ones the cells below their bounds
@@ -159,22 +182,28 @@ def _scaled(cells: DataFrame, name: str) -> DataFrame:
         .otherwise(1.0)
     )
     factors = sums.select(name, factor.alias("factor"))
-    return cells.join(factors, name).withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
+    scaled = _matched(cells, factors, name, few)
+    return scaled.withColumn("weight", F.col("weight") * F.col("factor")).drop("factor")
 
 
 def raked(cells: DataFrame, turns: int = TURNS, least_move: float = MOVED) -> DataFrame:
     """``cells`` with ``weight`` fitted to ``target_<dimension>`` in turn, and never above ``bound``.
 
     Sums are grouped, which combines in each task before the shuffle, and joined back, so no
-    value's cells meet in one task.  Each step is one written table: plans stay small, and a lost executor costs
-    one step.  Where no weights meet all margins, raking ends when they settle; the last
+    value's cells meet in one task, unless there are ``FEW`` in all.  Each step is one written table, or each turn if
+    cells are few: plans stay small, and a lost executor costs that much.  Where no weights meet all margins, raking ends when they settle; the last
     dimension then fits best.  Values without any weight stay without.
     """
     bounded = F.least("weight", "bound")
+    cells, few = _together(cells)
     for _ in range(turns):
         cells = cells.withColumn("before", bounded)
         for name in DIMENSIONS:
-            cells = written(_scaled(cells, name), "raked-cells")
+            cells = _scaled(cells, name, few)
+            if not few:
+                cells = written(cells, "raked-cells")
+        if few:
+            cells = written(cells, "raked-cells").coalesce(1)
         moved = cells.agg(F.sum(F.abs(bounded - F.col("before"))).alias("t")).first()["t"]
         if (moved or 0.0) < least_move:
             break

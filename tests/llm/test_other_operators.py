@@ -124,6 +124,39 @@ def test_raking_under_the_bound_finds_the_weights_behind_the_margins(spark):
         assert abs(r["weight"] / r["bound"] - kept[r["source"], r["lang"], r["topic"]]) < 0.005
 
 
+@pytest.fixture
+def raked_plans(monkeypatch):
+    """The physical plans of the tables that raking keeps."""
+    plans, written = [], raking.written
+
+    def watched(frame, purpose):
+        if purpose == "raked-cells":
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return written(frame, purpose)
+
+    monkeypatch.setattr(raking, "written", watched)
+    return plans
+
+
+def test_few_cells_are_raked_in_one_job_a_turn_without_exchanges(spark, monkeypatch, raked_plans):
+    pick = random.Random(3)
+    cells = [(s, g, t, pick.randint(0, 999)) for s in "abcd" for g in ("en", "de", "") for t in ("prose", "short")]
+    frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long").repartition(5)
+
+    def weights():
+        rows = raking.raked(raking.targeted(frame, raking.targets(frame)), turns=3, least_move=0.0).collect()
+        return {(r["source"], r["lang"], r["topic"]): r["weight"] for r in rows}
+
+    few = weights()
+    # The first plan deals out the rows of this test.
+    assert len(raked_plans) == 1 + 3 and not any("Exchange" in plan for plan in raked_plans[1:])
+    # More cells than that stay dealt out, and get the same weights.
+    monkeypatch.setattr(raking, "FEW", len(cells) - 1)
+    many = weights()
+    assert len(raked_plans) == 4 + 1 + 3 * 3 and all("Exchange" in plan for plan in raked_plans[5:])
+    assert few.keys() == many.keys() and all(abs(few[k] - many[k]) < 1e-12 for k in few)
+
+
 def test_targets_beyond_supply_are_shared_out(spark):
     cells = [("s", g, t, n) for g in ("en", "de", "fr") for t, n in (("prose", 900), ("short", 3), ("table", 20))]
     frame = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
